@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reports are point-in-time batch queries over a fixed as-of instant; there
+is no stream, watermark or stateful operator to rebuild. A caller who wants
+fresh reports on a schedule reruns the batch plan with a new ``as_of``.
+"""
