@@ -131,7 +131,7 @@ WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')
 OPERATOR_SQL["semi_join_correlated"] = """
 SELECT p.p_partkey, p.p_size, p.p_brand FROM part p
 WHERE upper(nullif(trim(p.p_brand), '')) IN (
-      SELECT upper(nullif(trim(p2.p_brand), '')) FROM part p2 WHERE p2.p_size = p.p_size AND p2.p_retailprice > 1000)
+      SELECT upper(nullif(trim(p2.p_brand), '')) FROM part p2 WHERE p2.p_size = p.p_size AND p2.p_retailprice > 950)
 """
 
 OPERATOR_SQL["anti_join_not_exists"] = """

@@ -213,7 +213,7 @@ def semi_join_correlated(spark, sf):
     subquery never multiply)."""
     p = _t(spark, sf, "part")
     left = p.select("p_partkey", "p_size", "p_brand", norm_text("p_brand").alias("nb"))
-    right = p.where(F.col("p_retailprice") > 1000).select(F.col("p_size").alias("s2"), norm_text("p_brand").alias("nb2"))
+    right = p.where(F.col("p_retailprice") > 950).select(F.col("p_size").alias("s2"), norm_text("p_brand").alias("nb2"))
     return semi_in(left, right, ["p_size", "nb"], ["s2", "nb2"]).select("p_partkey", "p_size", "p_brand")
 
 
