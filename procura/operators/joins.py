@@ -39,13 +39,34 @@ def _as_list(x: str | Sequence[str]) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def _salt(df: DataFrame, keys: list[str], name: str, spread_by: Sequence[str] | None) -> DataFrame:
+def _any_null(keys: Sequence[str]) -> Column:
     any_null = None
     for k in keys:
         any_null = F.col(k).isNull() if any_null is None else (any_null | F.col(k).isNull())
+    return any_null
+
+
+def _salt(df: DataFrame, keys: list[str], name: str, spread_by: Sequence[str] | None) -> DataFrame:
     basis = [F.col(c) for c in (spread_by or df.columns)]
     spread = F.pmod(F.xxhash64(*basis), F.lit(SALT_BUCKETS)) + F.lit(1)
-    return df.withColumn(name, F.when(any_null, spread).otherwise(F.lit(0)))
+    return df.withColumn(name, F.when(_any_null(keys), spread).otherwise(F.lit(0)))
+
+
+def _zero_salt(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Salt of the non-preserved side: 0 for every row that can match.
+
+    Written as an expression of the key (not a literal) so the optimizer
+    cannot fold it into a filter and drop it from the join keys; rows with a
+    NULL key get -1 (they match nothing anyway).
+    """
+    return df.withColumn(name, F.when(_any_null(keys), F.lit(-1)).otherwise(F.lit(0)).cast("bigint"))
+
+
+def same(a: str, b: str) -> Column:
+    """``a = b`` kept as a residual join condition (not a partitioning key):
+    lets several joins share one partitioning key while still checking
+    further columns."""
+    return F.coalesce(F.col(a) == F.col(b), F.lit(False))
 
 
 def keyed_join(
@@ -82,7 +103,7 @@ def keyed_join(
         if how in ("full", "full_outer", "outer"):
             right = _salt(right, rk, salt_r, None)
         else:
-            right = right.withColumn(salt_r, F.lit(0))
+            right = _zero_salt(right, rk, salt_r)
         cond = None
         for a, b in zip(lk, rk):
             c = left[a] == right[b]
@@ -97,6 +118,32 @@ def keyed_join(
     return out.drop(*drop) if drop else out
 
 
+def left_join_all(
+    left: DataFrame,
+    left_key: str,
+    rights: Sequence[tuple[DataFrame, str, Column | None]],
+    *,
+    spread_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """Chain of left joins that all use the same left key.
+
+    The left side is salted once and every join uses the identical
+    ``(key, salt)`` pair, so after the first shuffle the following joins find
+    the rows already hash-partitioned and add no exchange of the (growing,
+    wide) left rows. Each entry of ``rights`` is ``(frame, key, residual)``.
+    """
+    salt = _uid("sl")
+    out = _salt(left, [left_key], salt, spread_by)
+    for right, right_key, extra in rights:
+        rs = _uid("sr")
+        r = _zero_salt(right, [right_key], rs)
+        cond = (out[left_key] == r[right_key]) & (out[salt] == r[rs])
+        if extra is not None:
+            cond = cond & extra
+        out = out.join(r, cond, "left").drop(rs)
+    return out.drop(salt)
+
+
 def _guard(col: Column, cnt: str, what: str) -> Column:
     return F.when(F.col(cnt) > 1, F.raise_error(F.lit(f"more than one row in lookup {what}"))).otherwise(col)
 
@@ -202,13 +249,18 @@ def full_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
 
 
 def lineage_chain(po: DataFrame, pr: DataFrame, rfq: DataFrame | None, po_key: str, pr_key: str, rfq_key: str | None = None) -> DataFrame:
-    """``po ⟗ pr`` on (po_key = pr_key), then ``⟗ rfq`` keyed on the **PR**
+    """``(po ⟗ pr) ⟗ rfq`` where the second join is keyed on the **PR**
     side's key only (not coalesced): PO-only rows never meet an RFQ and RFQs
-    whose requisition line is outside the PR block surface as RFQ-only rows."""
-    out = full_outer(po, pr, po_key, pr_key)
+    whose requisition line is outside the PR block surface as RFQ-only rows.
+
+    Evaluated as ``po ⟗ (pr ⟗ rfq)``: both predicates are NULL-rejecting
+    equalities and the second references only PR and RFQ columns, so the
+    full joins associate. The narrow PR and RFQ rows meet first and the wide
+    order rows are shuffled once.
+    """
     if rfq is not None:
-        out = full_outer(out, rfq, pr_key, rfq_key or pr_key)
-    return out
+        pr = full_outer(pr, rfq, pr_key, rfq_key or pr_key)
+    return full_outer(po, pr, po_key, pr_key)
 
 
 def semi_in(df: DataFrame, other: DataFrame, keys: str | Sequence[str], other_keys: str | Sequence[str] | None = None) -> DataFrame:

@@ -37,12 +37,14 @@ from procura.operators import (
     first_event,
     keyed_join,
     last_action_rows,
+    left_join_all,
     last_event,
     latest_per_key,
     max_by_key,
     ordered_listagg_expr,
     scalar_lookup,
 )
+from procura.operators.joins import same
 
 Tables = Mapping[str, DataFrame]
 
@@ -319,9 +321,18 @@ def inspection_pending(t: Tables, as_of: str) -> DataFrame:
     return pairs.groupBy("k6_transaction_id").agg(ordered_listagg_expr("st_email").alias("k6_pending_with"))
 
 
-def receipt_chain(t: Tables, as_of: str, legacy: bool = False, with_inspection: bool = False) -> DataFrame:
-    """K9 source: receipt transaction ⟕ shipment line (with "Received By") ⟕
-    shipment header [⟕ inspection pending (K6)], at transaction grain."""
+def receipt_chain(t: Tables, as_of: str, kind: str = STANDARD, legacy: bool = False) -> DataFrame:
+    """K9 source at transaction grain: receipt transaction ⟕ shipment line
+    (with "Received By") ⟕ shipment header, plus inspection pending (K6,
+    standard) or the service note with its verification note and line
+    (K10/K11, blanket).
+
+    The service-note conditions of the source name the order header, release
+    and location; inside a matched receipt those equal the receipt's own
+    header, release and location ids (the receipt join demands it), and
+    without a receipt the shipment header is NULL so nothing matches — hence
+    the note can be joined here, at receipt grain.
+    """
     rsl = t["rcv_shipment_lines"].withColumn("__upd_day", day("last_update_date"))
     u = t["users"]
     ppl = t["people_f"]
@@ -332,8 +343,14 @@ def receipt_chain(t: Tables, as_of: str, legacy: bool = False, with_inspection:
     rt = pfx(t["rcv_transactions"], "rt")
     rt = keyed_join(rt, pfx(rsl, "rsl"), "rt_shipment_line_id", "rsl_shipment_line_id", "left")
     rt = keyed_join(rt, pfx(t["rcv_shipment_headers"], "rsh"), "rsl_shipment_header_id", "rsh_shipment_header_id", "left")
-    if with_inspection:
+    if kind == STANDARD:
         rt = attach(rt, inspection_pending(t, as_of), "rt_transaction_id", "k6_transaction_id")
+    else:
+        rt = rt.withColumn("rsh_attr1_num", num_key("rsh_attribute1"))
+        rt = keyed_join(rt, srn_block(t), ["rt_po_header_id", "rsh_attr1_num", "rt_po_release_id"],
+                        ["srh_po_header_id", "srh_srn_header_id", "srh_po_release_id"], "left")
+        rt = keyed_join(rt, pfx(t["srn_lines"], "srl"), ["srh_srn_header_id", "rt_po_line_location_id"],
+                        ["srl_srn_header_id", "srl_line_location_id"], "left")
     return rt
 
 
@@ -347,10 +364,17 @@ def invoice_chain(t: Tables, kind: str) -> DataFrame:
     lines = t["invoice_lines"]
     if kind == STANDARD:
         lines = lines.where(flag_is("cancelled_flag", "N", "Y"))
-    inv = keyed_join(aida, pfx(lines, "aila"), ["aida_invoice_id", "aida_invoice_line_number"], ["aila_invoice_id", "aila_line_number"], "left")
-    inv = keyed_join(inv, pfx(t["invoices"], "aia"), "aida_invoice_id", "aia_invoice_id", "left")
-    inv = keyed_join(inv, pfx(t["payment_schedules"], "apsa"), "aia_invoice_id", "apsa_invoice_id", "left")
-    inv = keyed_join(inv, pfx(t["invoice_payments"], "aipa"), ["aia_invoice_id", "apsa_payment_num"], ["aipa_invoice_id", "aipa_payment_num"], "left")
+    # Every condition up to the payment names the invoice id, so all four
+    # joins share the distribution's invoice id as partitioning key; the
+    # source's exact conditions stay as residuals (e.g. the schedule must
+    # meet the *invoice* row, so it never matches when the invoice is absent).
+    inv = left_join_all(aida, "aida_invoice_id", [
+        (pfx(lines, "aila"), "aila_invoice_id", same("aida_invoice_line_number", "aila_line_number")),
+        (pfx(t["invoices"], "aia"), "aia_invoice_id", None),
+        (pfx(t["payment_schedules"], "apsa"), "apsa_invoice_id", same("aia_invoice_id", "apsa_invoice_id")),
+        (pfx(t["invoice_payments"], "aipa"), "aipa_invoice_id",
+         same("aia_invoice_id", "aipa_invoice_id") & same("apsa_payment_num", "aipa_payment_num")),
+    ])
     inv = keyed_join(inv, pfx(t["checks"], "aca"), "aipa_check_id", "aca_check_id", "left")
     return inv
 
@@ -378,29 +402,27 @@ def srn_block(t: Tables) -> DataFrame:
 
 
 def po_block(t: Tables, as_of: str, kind: str, legacy: bool = False) -> DataFrame:
-    """K5 + K9–K16 at order grain: header ⋈ line ⋈ location [⟕ release]
-    ⟕ receipt chain [⟕ SRN] ⟕ distribution chain (standard: every
+    """K5 + K9–K16 at order grain: location [⟕ release] ⋈ line ⋈ header,
+    then ⟕ receipt chain and ⟕ distribution chain (standard: every
     distribution of the location; blanket: the receipt's distribution, or
-    all when the receipt names none)."""
+    all when the receipt names none).
+
+    Narrow rows meet first (release at location grain, header lookups at
+    header grain); the two fan-out joins share one salted location key, so
+    the wide rows are shuffled once for both.
+    """
     pha = po_header_block(t, as_of, kind)
-    pla = pfx(t["po_lines"], "pla")
     plla = pfx(t["po_line_locations"], "plla")
-    po = pha.join(pla, F.col("pha_po_header_id") == F.col("pla_po_header_id")).join(plla, F.col("pla_po_line_id") == F.col("plla_po_line_id"))
-    rt = receipt_chain(t, as_of, legacy=legacy, with_inspection=(kind == STANDARD))
     if kind == BLANKET:
-        po = keyed_join(po, release_block(t, as_of), "plla_po_release_id", "pra_po_release_id", "left")
-        po = keyed_join(po, rt, ["pha_po_header_id", "pra_po_release_id", "pla_po_line_id", "plla_line_location_id"],
-                        ["rt_po_header_id", "rt_po_release_id", "rt_po_line_id", "rt_po_line_location_id"], "left")
-        po = po.withColumn("rsh_attr1_num", num_key("rsh_attribute1"))
-        po = keyed_join(po, srn_block(t), ["pha_po_header_id", "rsh_attr1_num", "pra_po_release_id"],
-                        ["srh_po_header_id", "srh_srn_header_id", "srh_po_release_id"], "left")
-        po = keyed_join(po, pfx(t["srn_lines"], "srl"), ["srh_srn_header_id", "plla_line_location_id"],
-                        ["srl_srn_header_id", "srl_line_location_id"], "left")
-        dist = distribution_chain(t, kind)
-        residual = (F.col("rt_po_distribution_id") == F.col("pda_po_distribution_id")) | F.col("rt_po_distribution_id").isNull()
-        po = keyed_join(po, dist, "plla_line_location_id", "pda_line_location_id", "left", extra=residual)
-    else:
-        po = keyed_join(po, rt, ["pha_po_header_id", "pla_po_line_id", "plla_line_location_id"],
-                        ["rt_po_header_id", "rt_po_line_id", "rt_po_line_location_id"], "left")
-        po = keyed_join(po, distribution_chain(t, kind), "plla_line_location_id", "pda_line_location_id", "left")
-    return po
+        plla = keyed_join(plla, release_block(t, as_of), "plla_po_release_id", "pra_po_release_id", "left")
+    lines = pfx(t["po_lines"], "pla").join(plla, F.col("pla_po_line_id") == F.col("plla_po_line_id"))
+    po = lines.join(pha, F.col("pla_po_header_id") == F.col("pha_po_header_id"))
+    rt_cond = same("pha_po_header_id", "rt_po_header_id") & same("pla_po_line_id", "rt_po_line_id")
+    dist_cond = None
+    if kind == BLANKET:
+        rt_cond = rt_cond & same("pra_po_release_id", "rt_po_release_id")
+        dist_cond = (F.col("rt_po_distribution_id") == F.col("pda_po_distribution_id")) | F.col("rt_po_distribution_id").isNull()
+    return left_join_all(po, "plla_line_location_id", [
+        (receipt_chain(t, as_of, kind, legacy), "rt_po_line_location_id", rt_cond),
+        (distribution_chain(t, kind), "pda_line_location_id", dist_cond),
+    ])

@@ -46,18 +46,25 @@ def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _when(cond: Column, value: Column) -> Column:
-    return F.when(cond, value)
-
-
-def _project(df: DataFrame, kind: str, legacy: bool) -> DataFrame:
-    """Build the report columns from the joined blocks (after the FULL joins,
-    so defaulted columns are also filled on requisition-/RFQ-only rows)."""
+# Columns that are non-NULL even on requisition-/RFQ-only rows: their default
+# is applied after the FULL joins (order-side rows already carry a value).
+_AFTER_JOIN_DEFAULTS = {
+    "PO ORDER CURRENCY": "USD",
+    "Receipt Currency": "USD",
+    "Payment Currency": "USD",
+    "Inspection Flag": "No",
+    "Match Status Flag": "Never Validated",
+    "GL Code Combination": "......",
+}
+
+_PO_KEY = "__po_req_distribution_id"
+
+
+def _po_outputs(kind: str, legacy: bool) -> dict[str, Column]:
+    """Order-side report columns, evaluated before the FULL joins so only
+    output-sized rows are shuffled (defaults of ``_AFTER_JOIN_DEFAULTS`` are
+    left NULL here)."""
     blanket = kind == BLANKET
-    c = {n: _c(n) for n in _PR_COLS}
-    if kind == STANDARD:
-        for out, src in _RFQ:
-            c[out] = F.col(src)
     price = F.col("plla_price_override")
     order_amt = price * F.col("plla_quantity")
     rcv_amt = price * F.col("rt_quantity")
@@ -65,7 +72,7 @@ def _project(df: DataFrame, kind: str, legacy: bool) -> DataFrame:
     inspected = ttype.isin("ACCEPT", "REJECT")
     delivered = ttype == "DELIVER"
     pay_amt = F.col("aca_amount") if legacy else F.col("aipa_amount")
-    c.update({
+    c = {
         "PO Number": F.col("pha_segment1"),
         "RID": F.col("pda_req_distribution_id"),
         "PO Line": F.col("pla_line_num"),
@@ -83,21 +90,23 @@ def _project(df: DataFrame, kind: str, legacy: bool) -> DataFrame:
         "ACV AMOUNT": F.col("acv_amount"),
         "PO Order Qty": F.col("plla_quantity"),
         "PO Order Amount": order_amt,
-        "PO ORDER CURRENCY": F.coalesce(F.col("pha_currency_code"), F.lit("USD")),
+        "PO ORDER CURRENCY": F.col("pha_currency_code"),
         "PO Order Amount (USD)": convert_amount(order_amt, "pha_rate"),
+        "PO approval Pending with": F.col("po_pending_name"),
+        "PO approval Pending with Employee Id": F.col("po_pending_empno"),
         "Receipt Number": F.col("rsh_receipt_num"),
         "Receipt Date": F.col("rsh_creation_date"),
         "Receipt line No": F.col("rsl_line_num"),
         "Receipt Qty": F.col("rt_quantity"),
         "Receipt Amount": rcv_amt,
-        "Receipt Currency": F.coalesce(F.col("rt_currency_code"), F.lit("USD")),
+        "Receipt Currency": F.col("rt_currency_code"),
         "Receipt Amount (USD)": convert_amount(rcv_amt, "rt_currency_conversion_rate"),
         "Received By": F.col("rsl_received_by"),
         "Inspection Flag": F.when(F.col("plla_receiving_routing_id") == 2, F.lit("Yes")).otherwise(F.lit("No")),
-        "Inspection Date": _when(inspected, F.col("rt_transaction_date")),
-        "Inspection STATUS": _when(inspected, ttype),
-        "Delivery Date": _when(delivered, F.col("rt_transaction_date")),
-        "Delivery Status": _when(delivered, ttype),
+        "Inspection Date": F.when(inspected, F.col("rt_transaction_date")),
+        "Inspection STATUS": F.when(inspected, ttype),
+        "Delivery Date": F.when(delivered, F.col("rt_transaction_date")),
+        "Delivery Status": F.when(delivered, ttype),
         "Invoice Number": F.col("aia_invoice_num"),
         "Invoice Line": F.col("aila_line_number"),
         "Invoice Line Type": F.col("aida_line_type_lookup_code"),
@@ -114,14 +123,12 @@ def _project(df: DataFrame, kind: str, legacy: bool) -> DataFrame:
         "Invoice Currency": F.col("aia_invoice_currency_code"),
         "Invoice Amount USD": convert_amount("aida_amount", "aia_exchange_rate"),
         "Payment Date": F.col("aca_check_date"),
-        "Payment Currency": F.coalesce(F.col("aca_currency_code"), F.lit("USD")),
+        "Payment Currency": F.col("aca_currency_code"),
         "Payment Amount": pay_amt,
         "Payment Amount (USD)": convert_amount(pay_amt, "aca_exchange_rate"),
         "Payment Due Date": F.col("apsa_due_date"),
         "Payment Status": F.col("apsa_payment_status_flag"),
-        "PO approval Pending with": F.col("po_pending_name"),
-        "PO approval Pending with Employee Id": F.col("po_pending_empno"),
-    })
+    }
     if blanket:
         c.update({
             "BR Number - Blanket": F.col("pra_release_num"),
@@ -149,11 +156,31 @@ def _project(df: DataFrame, kind: str, legacy: bool) -> DataFrame:
             "QS COMMENTS": F.col("vrn_comments"),
         })
     else:
-        c.update({
-            "Inspection Group": F.when(F.col("pd_item_id").isNull() & F.col("pd_attribute2").isNotNull(), F.col("pd_attribute2"))
-            .otherwise(F.col("pd_attribute1")),
-            "Inspection Pending With": F.col("k6_pending_with"),
-        })
+        c["Inspection Pending With"] = F.col("k6_pending_with")
+    return c
+
+
+def _narrow_po(po: DataFrame, kind: str, legacy: bool) -> DataFrame:
+    schema = LEGACY_SCHEMA if legacy else REPORT_SCHEMA
+    types = {f.name: f.dataType for f in schema.fields}
+    outs = _po_outputs(kind, legacy)
+    return po.select(F.col("pda_req_distribution_id").alias(_PO_KEY),
+                     *[e.cast(types[n]).alias(n) for n, e in outs.items()])
+
+
+def _project(df: DataFrame, kind: str, legacy: bool) -> DataFrame:
+    """Final report columns after the FULL joins: order-side columns as
+    computed by ``_narrow_po`` (plus their defaults), requisition and RFQ
+    columns from their blocks, typed NULLs for the other report's columns."""
+    c = {n: _c(n) for n in _po_outputs(kind, legacy)}
+    for n, d in _AFTER_JOIN_DEFAULTS.items():
+        c[n] = F.coalesce(_c(n), F.lit(d))
+    c.update({n: _c(n) for n in _PR_COLS})
+    if kind == STANDARD:
+        for out, src in _RFQ:
+            c[out] = F.col(src)
+        c["Inspection Group"] = F.when(F.col("pd_item_id").isNull() & F.col("pd_attribute2").isNotNull(), F.col("pd_attribute2")) \
+            .otherwise(F.col("pd_attribute1"))
     schema = LEGACY_SCHEMA if legacy else REPORT_SCHEMA
     return df.select(*[
         (c[f.name] if f.name in c else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
@@ -162,18 +189,18 @@ def _project(df: DataFrame, kind: str, legacy: bool) -> DataFrame:
 
 def report_blanket(t: Tables, as_of: str = DEFAULT_AS_OF, legacy: bool = False) -> DataFrame:
     """Blanket orders and releases ⟗ BLANKET-sourced requisitions."""
-    po = po_block(t, as_of, BLANKET, legacy=legacy)
+    po = _narrow_po(po_block(t, as_of, BLANKET, legacy=legacy), BLANKET, legacy)
     pr = pr_block(t, as_of, sourced=True)
-    return _project(lineage_chain(po, pr, None, "pda_req_distribution_id", "DISTRIBUTION_ID"), BLANKET, legacy)
+    return _project(lineage_chain(po, pr, None, _PO_KEY, "DISTRIBUTION_ID"), BLANKET, legacy)
 
 
 def report_standard(t: Tables, as_of: str = DEFAULT_AS_OF, legacy: bool = False, dedupe_rfq: bool = False) -> DataFrame:
     """Standard orders ⟗ unsourced requisitions ⟗ RFQs (keyed on the
     requisition side)."""
-    po = po_block(t, as_of, STANDARD, legacy=legacy)
+    po = _narrow_po(po_block(t, as_of, STANDARD, legacy=legacy), STANDARD, legacy)
     pr = pr_block(t, as_of, sourced=False)
     rfq = rfq_block(t, as_of, legacy=legacy, dedupe_rfq=dedupe_rfq)
-    chained = lineage_chain(po, pr, rfq, "pda_req_distribution_id", "DISTRIBUTION_ID", "ad_distribution_id")
+    chained = lineage_chain(po, pr, rfq, _PO_KEY, "DISTRIBUTION_ID", "ad_distribution_id")
     return _project(chained, STANDARD, legacy)
 
 
