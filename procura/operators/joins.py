@@ -22,6 +22,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from procura.functions.expr import effective_on
 
@@ -46,8 +47,15 @@ def _any_null(keys: Sequence[str]) -> Column:
     return any_null
 
 
+def _id_columns(df: DataFrame) -> list[str]:
+    """Integral columns (ids, line numbers): the default salt basis. Hashing
+    only these keeps every text/decimal/date column prunable upstream."""
+    ids = [f.name for f in df.schema.fields if isinstance(f.dataType, (LongType, IntegerType, ShortType, ByteType))]
+    return ids or list(df.columns)
+
+
 def _salt(df: DataFrame, keys: list[str], name: str, spread_by: Sequence[str] | None) -> DataFrame:
-    basis = [F.col(c) for c in (spread_by or df.columns)]
+    basis = [F.col(f"`{c}`") for c in (spread_by or _id_columns(df))]
     spread = F.pmod(F.xxhash64(*basis), F.lit(SALT_BUCKETS)) + F.lit(1)
     return df.withColumn(name, F.when(_any_null(keys), spread).otherwise(F.lit(0)))
 
@@ -79,14 +87,16 @@ def keyed_join(
     extra: Column | None = None,
     spread_nulls: bool = True,
     spread_by: Sequence[str] | None = None,
+    spread_by_right: Sequence[str] | None = None,
     right_hint: str | None = None,
 ) -> DataFrame:
     """Equi-join on ``left_keys == right_keys`` (plus optional residual
     ``extra``) for ``how`` in inner/left/full.
 
-    For ``left``/``full`` joins rows with a NULL key on the preserved side are
-    salted so they spread across partitions instead of piling up in one task.
-    ``spread_by`` names the columns hashed for the salt (default: all).
+    For ``left``/``full`` joins rows with a NULL key on the preserved side(s)
+    are salted so they spread across partitions instead of piling up in one
+    task. ``spread_by`` / ``spread_by_right`` name the row-identifying
+    columns hashed for the salt (default: the side's integral columns).
     """
     lk, rk = _as_list(left_keys), _as_list(right_keys)
     if len(lk) != len(rk):
@@ -101,7 +111,7 @@ def keyed_join(
         left = _salt(left, lk, salt_l, spread_by)
         salt_r = _uid("sr")
         if how in ("full", "full_outer", "outer"):
-            right = _salt(right, rk, salt_r, None)
+            right = _salt(right, rk, salt_r, spread_by_right)
         else:
             right = _zero_salt(right, rk, salt_r)
         cond = None
@@ -241,14 +251,35 @@ def dated_lookup(
     return joined.select(*fact.columns, *outs)
 
 
-def full_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str, *, build_right: bool = True) -> DataFrame:
+def full_outer(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    *,
+    build_right: bool = True,
+    spread_left: Sequence[str] | None = None,
+    spread_right: Sequence[str] | None = None,
+) -> DataFrame:
     """Full outer equi-join that keeps NULL-keyed rows of both sides unmatched
     and spread; the (smaller, unique-keyed) right side is the hash-build side
     so a hot key on the left streams instead of being buffered."""
-    return keyed_join(left, right, left_key, right_key, "full", right_hint="shuffle_hash" if build_right else None)
+    return keyed_join(left, right, left_key, right_key, "full", spread_by=spread_left, spread_by_right=spread_right,
+                      right_hint="shuffle_hash" if build_right else None)
 
 
-def lineage_chain(po: DataFrame, pr: DataFrame, rfq: DataFrame | None, po_key: str, pr_key: str, rfq_key: str | None = None) -> DataFrame:
+def lineage_chain(
+    po: DataFrame,
+    pr: DataFrame,
+    rfq: DataFrame | None,
+    po_key: str,
+    pr_key: str,
+    rfq_key: str | None = None,
+    *,
+    po_spread: Sequence[str] | None = None,
+    pr_spread: Sequence[str] | None = None,
+    rfq_spread: Sequence[str] | None = None,
+) -> DataFrame:
     """``(po ⟗ pr) ⟗ rfq`` where the second join is keyed on the **PR**
     side's key only (not coalesced): PO-only rows never meet an RFQ and RFQs
     whose requisition line is outside the PR block surface as RFQ-only rows.
@@ -259,8 +290,8 @@ def lineage_chain(po: DataFrame, pr: DataFrame, rfq: DataFrame | None, po_key: s
     order rows are shuffled once.
     """
     if rfq is not None:
-        pr = full_outer(pr, rfq, pr_key, rfq_key or pr_key)
-    return full_outer(po, pr, po_key, pr_key)
+        pr = full_outer(pr, rfq, pr_key, rfq_key or pr_key, spread_left=pr_spread, spread_right=rfq_spread)
+    return full_outer(po, pr, po_key, pr_key, spread_left=po_spread, spread_right=pr_spread)
 
 
 def semi_in(df: DataFrame, other: DataFrame, keys: str | Sequence[str], other_keys: str | Sequence[str] | None = None) -> DataFrame:

@@ -174,6 +174,7 @@ def pr_block(t: Tables, as_of: str, sourced: bool) -> DataFrame:
         F.col("porla_item_id").alias("pd_item_id"),
         F.col("porla_attribute2").alias("pd_attribute2"),
         F.col("msib_attribute1").alias("pd_attribute1"),
+        F.col("porla_requisition_line_id").alias("__pr_line"),
     )
 
 

@@ -58,6 +58,10 @@ _AFTER_JOIN_DEFAULTS = {
 }
 
 _PO_KEY = "__po_req_distribution_id"
+# row identity of an order-side row (location × receipt × distribution ×
+# invoice distribution × instalment): spreads its NULL-keyed rows
+_PO_SPREAD = ["__po_loc", "__po_txn", "__po_dist", "__po_inv", "__po_pay"]
+_PR_SPREAD = ["__pr_line"]
 
 
 def _po_outputs(kind: str, legacy: bool) -> dict[str, Column]:
@@ -164,7 +168,9 @@ def _narrow_po(po: DataFrame, kind: str, legacy: bool) -> DataFrame:
     schema = LEGACY_SCHEMA if legacy else REPORT_SCHEMA
     types = {f.name: f.dataType for f in schema.fields}
     outs = _po_outputs(kind, legacy)
+    ident = ["plla_line_location_id", "rt_transaction_id", "pda_po_distribution_id", "aida_invoice_id", "apsa_payment_num"]
     return po.select(F.col("pda_req_distribution_id").alias(_PO_KEY),
+                     *[F.col(c).alias(a) for c, a in zip(ident, _PO_SPREAD)],
                      *[e.cast(types[n]).alias(n) for n, e in outs.items()])
 
 
@@ -191,7 +197,8 @@ def report_blanket(t: Tables, as_of: str = DEFAULT_AS_OF, legacy: bool = False)
     """Blanket orders and releases ⟗ BLANKET-sourced requisitions."""
     po = _narrow_po(po_block(t, as_of, BLANKET, legacy=legacy), BLANKET, legacy)
     pr = pr_block(t, as_of, sourced=True)
-    return _project(lineage_chain(po, pr, None, _PO_KEY, "DISTRIBUTION_ID"), BLANKET, legacy)
+    return _project(lineage_chain(po, pr, None, _PO_KEY, "DISTRIBUTION_ID", po_spread=_PO_SPREAD, pr_spread=_PR_SPREAD),
+                    BLANKET, legacy)
 
 
 def report_standard(t: Tables, as_of: str = DEFAULT_AS_OF, legacy: bool = False, dedupe_rfq: bool = False) -> DataFrame:
@@ -200,7 +207,8 @@ def report_standard(t: Tables, as_of: str = DEFAULT_AS_OF, legacy: bool = False,
     po = _narrow_po(po_block(t, as_of, STANDARD, legacy=legacy), STANDARD, legacy)
     pr = pr_block(t, as_of, sourced=False)
     rfq = rfq_block(t, as_of, legacy=legacy, dedupe_rfq=dedupe_rfq)
-    chained = lineage_chain(po, pr, rfq, _PO_KEY, "DISTRIBUTION_ID", "ad_distribution_id")
+    chained = lineage_chain(po, pr, rfq, _PO_KEY, "DISTRIBUTION_ID", "ad_distribution_id",
+                            po_spread=_PO_SPREAD, pr_spread=_PR_SPREAD, rfq_spread=["ad_distribution_id"])
     return _project(chained, STANDARD, legacy)
 
 

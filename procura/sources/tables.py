@@ -3,9 +3,13 @@
 ``load_tables`` accepts either a folder of Parquet files named after the
 canonical tables, or a mapping ``{name: DataFrame}`` (catalog tables, views,
 or frames derived elsewhere). Each table is narrowed to the columns the
-reports read, cast to the canonical types, and empty text becomes NULL (the
-source dialect stores '' as NULL). Column selection is explicit so Parquet
-scans read only those columns.
+reports read and cast to the canonical types. Column selection is explicit
+so Parquet scans read only those columns.
+
+The source dialect stores empty text as NULL, so data exported from it never
+holds ''. For other sources ``empty_as_null=True`` maps '' to NULL; it is
+off by default because the wrapped column (``nullif``) hides string
+predicates from Parquet filter pushdown.
 """
 
 from __future__ import annotations
@@ -91,20 +95,25 @@ SCHEMAS: dict[str, StructType] = {t: _schema(s) for t, s in _SPEC.items()}
 TABLES: tuple[str, ...] = tuple(_SPEC)
 
 
-def conform_table(df: DataFrame, schema: StructType) -> DataFrame:
-    """Narrow to ``schema``'s columns, cast, and map '' to NULL in text."""
+def conform_table(df: DataFrame, schema: StructType, empty_as_null: bool = False) -> DataFrame:
+    """Narrow to ``schema``'s columns and cast; optionally map '' to NULL."""
     out = []
     for f in schema.fields:
         c = F.col(f.name)
-        if isinstance(f.dataType, StringType):
-            c = F.nullif(c.cast("string"), F.lit(""))
-        else:
+        if df.schema[f.name].dataType != f.dataType:
             c = c.cast(f.dataType)
+        if empty_as_null and isinstance(f.dataType, StringType):
+            c = F.nullif(c, F.lit(""))
         out.append(c.alias(f.name))
     return df.select(*out)
 
 
-def load_tables(spark: SparkSession, source: str | Mapping[str, DataFrame], names=TABLES) -> dict[str, DataFrame]:
+def load_tables(
+    spark: SparkSession,
+    source: str | Mapping[str, DataFrame],
+    names=TABLES,
+    empty_as_null: bool = False,
+) -> dict[str, DataFrame]:
     """Load the canonical tables from a Parquet folder or a name→DataFrame map."""
     tables = {}
     for name in names:
@@ -112,5 +121,5 @@ def load_tables(spark: SparkSession, source: str | Mapping[str, DataFrame], name
             df = spark.read.parquet(f"{source.rstrip('/')}/{name}.parquet")
         else:
             df = source[name]
-        tables[name] = conform_table(df, SCHEMAS[name])
+        tables[name] = conform_table(df, SCHEMAS[name], empty_as_null)
     return tables
