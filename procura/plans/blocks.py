@@ -34,7 +34,6 @@ from procura.operators import (
     anti_exists,
     child_sum,
     dated_lookup,
-    first_event,
     keyed_join,
     last_action_rows,
     left_join_all,
@@ -120,10 +119,22 @@ def po_pending_with(t: Tables, as_of: str, kind: str) -> DataFrame:
     return x.select("k4_key", "k4_name", "k4_empno")
 
 
+def first_approvals(t: Tables) -> DataFrame:
+    """E1 for every object type at once: earliest APPROVE date per object id
+    as a PO, as a RELEASE and as a REQUISITION (one pass, one shuffle; the
+    identical subplan is reused by every block that needs it)."""
+    h = t["po_action_history"].where(F.col("action_code") == APPROVE)
+    typ = F.col("object_type_code")
+    return h.groupBy(F.col("object_id").alias("fa_key")).agg(
+        F.min(F.when(typ == "PO", F.col("action_date"))).alias("po_first_appr"),
+        F.min(F.when(typ == "RELEASE", F.col("action_date"))).alias("br_first_appr"),
+        F.min(F.when(typ == "REQUISITION", F.col("action_date"))).alias("pr_first_appr"),
+    )
+
+
 def _first_approval(t: Tables, object_type: str, out: str) -> DataFrame:
-    h = t["po_action_history"]
-    fe = first_event(h, "object_id", "action_date", (F.col("action_code") == APPROVE) & (F.col("object_type_code") == object_type), out)
-    return fe.withColumnRenamed("object_id", f"{out}_key")
+    col = {"PO": "po_first_appr", "RELEASE": "br_first_appr", "REQUISITION": "pr_first_appr"}[object_type]
+    return first_approvals(t).select(F.col("fa_key").alias(f"{out}_key"), F.col(col).alias(out))
 
 
 # --------------------------------------------------------------- requisition
@@ -248,7 +259,10 @@ def po_header_block(t: Tables, as_of: str, kind: str) -> DataFrame:
     standard; release first approval, contract holder/engineer, QS name for
     blanket)."""
     pha = pfx(t["po_headers"].where(F.col("type_lookup_code") == kind), "pha")
-    pha = attach(pha, _first_approval(t, "PO", "po_first_appr"), "pha_po_header_id", "po_first_appr_key")
+    # the release "original approval" is keyed on the PO header id with type
+    # RELEASE, as in the source report
+    appr = ["po_first_appr"] + (["br_first_appr"] if kind == BLANKET else [])
+    pha = attach(pha, first_approvals(t).select("fa_key", *appr), "pha_po_header_id", "fa_key")
     pha = scalar_lookup(pha, t["suppliers"], "pha_vendor_id", "vendor_id", {"supplier_name": "vendor_name"}, name="supplier")
     acv = max_by_key(t["po_headers_archive"], "segment1", "amount_limit", "acv_amount").withColumnRenamed("segment1", "acv_key")
     pha = attach(pha, acv, "pha_segment1", "acv_key")
@@ -256,8 +270,6 @@ def po_header_block(t: Tables, as_of: str, kind: str) -> DataFrame:
         pha = scalar_lookup(pha, po_pending_with(t, as_of, STANDARD), "pha_po_header_id", "k4_key",
                             {"po_pending_name": "k4_name", "po_pending_empno": "k4_empno"}, name="PO approval pending with")
     else:
-        # keyed on the PO header id with type RELEASE, as in the source report
-        pha = attach(pha, _first_approval(t, "RELEASE", "br_first_appr"), "pha_po_header_id", "br_first_appr_key")
         now = people_active(t, as_of_lit(as_of))
         pha = pha.withColumn("pha_attr3_num", num_key("pha_attribute3")).withColumn("pha_attr5_num", num_key("pha_attribute5"))
         pha = scalar_lookup(pha, now, "pha_attr3_num", "person_id", {"ch_name": "full_name"}, name="contract holder")
