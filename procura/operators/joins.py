@@ -61,13 +61,14 @@ def _salt(df: DataFrame, keys: list[str], name: str, spread_by: Sequence[str] |
 
 
 def _zero_salt(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Salt of the non-preserved side: 0 for every row that can match.
+    """Salt of the non-preserved side: always 0.
 
-    Written as an expression of the key (not a literal) so the optimizer
-    cannot fold it into a filter and drop it from the join keys; rows with a
-    NULL key get -1 (they match nothing anyway).
+    Written as ``pmod(hash(key), 1)`` rather than a literal (or a NULL test,
+    which folds when the key is known non-NULL) so the optimizer cannot turn
+    it into a constant, move it out of the join keys and leave the NULL-keyed
+    rows of the other side unspread.
     """
-    return df.withColumn(name, F.when(_any_null(keys), F.lit(-1)).otherwise(F.lit(0)).cast("bigint"))
+    return df.withColumn(name, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(1)))
 
 
 def same(a: str, b: str) -> Column:
