@@ -7,7 +7,7 @@ kept in their natural correlated / ``IN`` / ``NOT EXISTS`` form.
 
 from __future__ import annotations
 
-from oracle.reports import AS_OF, pending_inspection_by_transaction, report_sql_body
+from oracle.reports import AS_OF, _pr_side, _rfq_side, pending_inspection_by_transaction, report_sql_body
 from procura.plans.schema import REPORT_SCHEMA
 from procura.sources.derived import oracle_ctes
 
@@ -223,3 +223,49 @@ SELECT * FROM ({report_sql_body('STANDARD', AS_OF)}) s
 ORDER BY {", ".join(f'"{f.name}" ASC NULLS FIRST' for f in REPORT_SCHEMA.fields)}
 LIMIT 10
 """
+
+OPERATOR_SQL["block_requisitions"] = oracle_ctes() + f"""
+SELECT CAST(pr_dist AS BIGINT) AS "DISTRIBUTION_ID", pr_no AS "PR_Number", pr_desc AS "PR_Description",
+       pr_created AS "PR_Creation_Date", pr_status AS "PR_Status", CAST(pr_line AS INTEGER) AS "PR_Line_No",
+       CAST(pr_qty AS DECIMAL(20,6)) AS "PR_Quantity", CAST(pr_price AS DECIMAL(18,6)) AS "Unit_Price",
+       CAST(pr_amount AS DECIMAL(28,6)) AS "PR_Line_Amount_OMR", pr_currency AS "PR Line Currency", pr_rush AS "RUSH_FLAG",
+       pr_need_by AS "NEED_BY_DATE", pr_approved AS "PR Latest Approved Date", pr_first_approved AS "PR Original Approved Date",
+       pr_item_code AS "Item Code", pr_item_desc AS "Item Description", pr_item_type AS "Item Type",
+       pr_sourced AS "Sourced Or Unsourced", pr_requestor AS "PR Requestor", pr_pending AS "PR Approval Pending With"
+FROM ({_pr_side(AS_OF, False)}) p
+"""
+
+OPERATOR_SQL["block_rfq"] = oracle_ctes() + f"""
+SELECT CAST(q_dist AS BIGINT) AS ad_distribution_id, q_no AS ad_number, q_status AS ad_status, q_type AS ad_type,
+       q_created AS ad_creation_date, q_closed AS ad_closed_date, q_strategy AS ad_strategy, q_te AS ad_te_date,
+       q_award AS ad_award_date, q_submit AS ad_submit_date, q_publish AS ad_publish_date, q_buyer AS ad_buyer
+FROM ({_rfq_side(AS_OF, False)}) q
+"""
+
+OPERATOR_SQL["block_po_pending"] = oracle_ctes() + f"""
+SELECT CASE WHEN x.object_type_code = 'RELEASE' THEN 'RELEASE' ELSE 'STANDARD' END AS kind,
+       CASE WHEN x.object_type_code = 'RELEASE' THEN r.po_release_id ELSE r.po_header_id END AS key_id,
+       p.full_name AS full_name, p.employee_number AS employee_number
+FROM po_action_history x
+JOIN po_releases r ON r.po_release_id = x.object_id
+JOIN people_f p ON p.person_id = x.employee_id
+WHERE x.object_type_code IN ('RELEASE', 'STANDARD')
+  AND r.authorization_status NOT IN ('APPROVED', 'REJECTED', 'INCOMPLETE')
+  AND x.sequence_num = (SELECT max(y.sequence_num) FROM po_action_history y WHERE y.object_id = x.object_id)
+  AND {NOW} BETWEEN p.effective_start_date AND p.effective_end_date
+"""
+
+OPERATOR_SQL["block_invoice_chain"] = oracle_ctes() + """
+SELECT d.po_distribution_id AS aida_po_distribution_id, d.invoice_id AS aida_invoice_id,
+       CAST(d.amount AS DECIMAL(18,6)) AS aida_amount, CAST(l.line_number AS INTEGER) AS aila_line_number,
+       i.invoice_num AS aia_invoice_num, CAST(s.payment_num AS INTEGER) AS apsa_payment_num,
+       CAST(p.amount AS DECIMAL(18,6)) AS aipa_amount, c.check_id AS aca_check_id, CAST(c.amount AS DECIMAL(18,6)) AS aca_amount
+FROM invoice_distributions d
+LEFT JOIN invoice_lines l ON l.invoice_id = d.invoice_id AND l.line_number = d.invoice_line_number
+                         AND coalesce(l.cancelled_flag, 'Y') = 'N'
+LEFT JOIN invoices i ON i.invoice_id = d.invoice_id
+LEFT JOIN payment_schedules s ON s.invoice_id = i.invoice_id
+LEFT JOIN invoice_payments p ON p.invoice_id = i.invoice_id AND p.payment_num = s.payment_num
+LEFT JOIN checks c ON c.check_id = p.check_id
+WHERE coalesce(d.cancellation_flag, 'Y') = 'N'
+"""

@@ -35,7 +35,7 @@ from procura.operators import (
     semi_in,
     union_distinct,
 )
-from procura.plans.blocks import inspection_pending, pr_pending_with
+from procura.plans.blocks import BLANKET, STANDARD, inspection_pending, invoice_chain, po_pending_with, pr_block, pr_pending_with, rfq_block
 from procura.plans.reports import DEFAULT_AS_OF, report_blanket, report_standard, report_union
 from procura.sources.derived import derived_tables
 
@@ -315,6 +315,37 @@ def block_inspection_pending(spark, sf):
     return inspection_pending(t, AS_OF).select(F.col("k6_transaction_id").alias("transaction_id"), F.col("k6_pending_with").alias("pending_with"))
 
 
+def block_requisitions(spark, sf):
+    """K1 (standard variant: lines without a document type) on derived tables."""
+    t = derived_tables(spark, sf)
+    cols = ["DISTRIBUTION_ID", "PR_Number", "PR_Description", "PR_Creation_Date", "PR_Status", "PR_Line_No", "PR_Quantity",
+            "Unit_Price", "PR_Line_Amount_OMR", "PR Line Currency", "RUSH_FLAG", "NEED_BY_DATE", "PR Latest Approved Date",
+            "PR Original Approved Date", "Item Code", "Item Description", "Item Type", "Sourced Or Unsourced", "PR Requestor",
+            "PR Approval Pending With"]
+    return pr_block(t, AS_OF, sourced=False).select(*[F.col(f"`{c}`") for c in cols])
+
+
+def block_rfq(spark, sf):
+    """K2: RFQ line × requisition distribution with buyer and last submit."""
+    return rfq_block(derived_tables(spark, sf), AS_OF)
+
+
+def block_po_pending(spark, sf):
+    """K4 candidates for both order types: last action of an open release."""
+    t = derived_tables(spark, sf)
+    b = po_pending_with(t, AS_OF, BLANKET).withColumn("kind", F.lit("RELEASE"))
+    s = po_pending_with(t, AS_OF, STANDARD).withColumn("kind", F.lit("STANDARD"))
+    return b.unionByName(s).select("kind", F.col("k4_key").alias("key_id"), F.col("k4_name").alias("full_name"),
+                                   F.col("k4_empno").alias("employee_number"))
+
+
+def block_invoice_chain(spark, sf):
+    """K13/K14 source chain (standard flags) at invoice-distribution grain."""
+    inv = invoice_chain(derived_tables(spark, sf), STANDARD)
+    return inv.select("aida_po_distribution_id", "aida_invoice_id", "aida_amount", "aila_line_number", "aia_invoice_num",
+                      "apsa_payment_num", "aipa_amount", "aca_check_id", "aca_amount")
+
+
 def drill_down(spark, sf):
     """Equality drill-down on the finished union report."""
     rep = report_union(derived_tables(spark, sf), AS_OF)
@@ -355,6 +386,10 @@ OPERATOR_QUERIES: dict[str, Query] = {
     "union_distinct_padded": union_distinct_padded,
     "block_pr_pending": block_pr_pending,
     "block_inspection_pending": block_inspection_pending,
+    "block_requisitions": block_requisitions,
+    "block_rfq": block_rfq,
+    "block_po_pending": block_po_pending,
+    "block_invoice_chain": block_invoice_chain,
     "drill_down": drill_down,
     "preview_top": preview_top,
 }
