@@ -258,15 +258,27 @@ def full_outer(
     left_key: str,
     right_key: str,
     *,
-    build_right: bool = True,
     spread_left: Sequence[str] | None = None,
     spread_right: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Full outer equi-join that keeps NULL-keyed rows of both sides unmatched
-    and spread; the (smaller, unique-keyed) right side is the hash-build side
-    so a hot key on the left streams instead of being buffered."""
-    return keyed_join(left, right, left_key, right_key, "full", spread_by=spread_left, spread_by_right=spread_right,
-                      right_hint="shuffle_hash" if build_right else None)
+    """Full outer equi-join evaluated as ``(left ⟕ right) ∪ (right ▷ keys(left))``.
+
+    Put the side that may carry a hot key on the left: a left outer join can
+    be split by AQE's skew handling (the hot partition of the left side is cut
+    into several tasks, the right side's matching rows are replicated), which
+    a FULL join cannot. The right-only rows come from an anti join against the
+    distinct left keys, aggregated map-side, so a hot key collapses to one
+    row. NULL keys never match and are spread on both sides. The price: the
+    left input is evaluated a second time for its key column only (column
+    pruning keeps that branch narrow).
+    """
+    matched = keyed_join(left, right, left_key, right_key, "left", spread_by=spread_left)
+    fk, ks, rs = _uid("fk"), _uid("ks"), _uid("rs")
+    keys = left.select(F.col(f"`{left_key}`").alias(fk)).where(F.col(fk).isNotNull()).distinct()
+    keys = keys.select(fk, F.pmod(F.xxhash64(F.col(fk)), F.lit(1)).alias(ks))
+    r = _salt(right, [right_key], rs, spread_right)
+    right_only = r.join(keys, (r[right_key] == keys[fk]) & (r[rs] == keys[ks]), "left_anti").drop(rs)
+    return matched.unionByName(right_only, allowMissingColumns=True)
 
 
 def lineage_chain(
@@ -285,13 +297,16 @@ def lineage_chain(
     side's key only (not coalesced): PO-only rows never meet an RFQ and RFQs
     whose requisition line is outside the PR block surface as RFQ-only rows.
 
-    Evaluated as ``po ⟗ (pr ⟗ rfq)``: both predicates are NULL-rejecting
+    Evaluated as ``po ⟗ (rfq ⟗ pr)``: both predicates are NULL-rejecting
     equalities and the second references only PR and RFQ columns, so the
     full joins associate. The narrow PR and RFQ rows meet first and the wide
-    order rows are shuffled once.
+    order rows are shuffled once. In each join the side that can hold a hot
+    key (many orders or RFQ lines per requisition distribution) is the left,
+    skew-splittable one; the requisition side has one row per key.
     """
     if rfq is not None:
-        pr = full_outer(pr, rfq, pr_key, rfq_key or pr_key, spread_left=pr_spread, spread_right=rfq_spread)
+        pr = full_outer(rfq, pr, rfq_key or pr_key, pr_key, spread_left=rfq_spread, spread_right=pr_spread)
+        pr_spread = None if pr_spread is None else list(pr_spread) + ([rfq_key] if rfq_key else [])
     return full_outer(po, pr, po_key, pr_key, spread_left=po_spread, spread_right=pr_spread)
 
 
