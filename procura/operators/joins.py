@@ -260,6 +260,7 @@ def full_outer(
     *,
     spread_left: Sequence[str] | None = None,
     spread_right: Sequence[str] | None = None,
+    left_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Full outer equi-join evaluated as ``(left ⟕ right) ∪ (right ▷ keys(left))``.
 
@@ -270,11 +271,16 @@ def full_outer(
     distinct left keys, aggregated map-side, so a hot key collapses to one
     row. NULL keys never match and are spread on both sides. The price: the
     left input is evaluated a second time for its key column only (column
-    pruning keeps that branch narrow).
+    pruning keeps that branch narrow) — unless ``left_keys``, a one-column
+    frame holding exactly the key values of ``left``, is supplied from a
+    cheaper plan.
     """
-    matched = keyed_join(left, right, left_key, right_key, "left", spread_by=spread_left)
+    # hash join with the right (one row per key) as build side: the wide left
+    # rows stream through without being sorted
+    matched = keyed_join(left, right, left_key, right_key, "left", spread_by=spread_left, right_hint="shuffle_hash")
     fk, ks, rs = _uid("fk"), _uid("ks"), _uid("rs")
-    keys = left.select(F.col(f"`{left_key}`").alias(fk)).where(F.col(fk).isNotNull()).distinct()
+    src = left.select(F.col(f"`{left_key}`").alias(fk)) if left_keys is None else left_keys.select(F.col(left_keys.columns[0]).alias(fk))
+    keys = src.where(F.col(fk).isNotNull()).distinct()
     keys = keys.select(fk, F.pmod(F.xxhash64(F.col(fk)), F.lit(1)).alias(ks))
     r = _salt(right, [right_key], rs, spread_right)
     right_only = r.join(keys, (r[right_key] == keys[fk]) & (r[rs] == keys[ks]), "left_anti").drop(rs)
@@ -292,6 +298,7 @@ def lineage_chain(
     po_spread: Sequence[str] | None = None,
     pr_spread: Sequence[str] | None = None,
     rfq_spread: Sequence[str] | None = None,
+    po_keys: DataFrame | None = None,
 ) -> DataFrame:
     """``(po ⟗ pr) ⟗ rfq`` where the second join is keyed on the **PR**
     side's key only (not coalesced): PO-only rows never meet an RFQ and RFQs
@@ -307,7 +314,7 @@ def lineage_chain(
     if rfq is not None:
         pr = full_outer(rfq, pr, rfq_key or pr_key, pr_key, spread_left=rfq_spread, spread_right=pr_spread)
         pr_spread = None if pr_spread is None else list(pr_spread) + ([rfq_key] if rfq_key else [])
-    return full_outer(po, pr, po_key, pr_key, spread_left=po_spread, spread_right=pr_spread)
+    return full_outer(po, pr, po_key, pr_key, spread_left=po_spread, spread_right=pr_spread, left_keys=po_keys)
 
 
 def semi_in(df: DataFrame, other: DataFrame, keys: str | Sequence[str], other_keys: str | Sequence[str] | None = None) -> DataFrame:

@@ -439,3 +439,36 @@ def po_block(t: Tables, as_of: str, kind: str, legacy: bool = False) -> DataFram
         (receipt_chain(t, as_of, kind, legacy), "rt_po_line_location_id", rt_cond),
         (distribution_chain(t, kind), "pda_line_location_id", dist_cond),
     ])
+
+
+def po_distribution_keys(t: Tables, kind: str) -> DataFrame:
+    """Requisition-distribution ids that occur on the order side of a report
+    (column ``po_key``), computed without the wide chains.
+
+    Exact: the order side is ``core ⟕ receipts ⟕ distributions``. Receipt
+    fan-out and the shipment/inspection/note/invoice joins never change
+    which distributions appear, so the standard side's keys are the
+    distributions of its locations. On the blanket side a distribution
+    appears when the location has no matching receipt, or a matching receipt
+    names it or names none — decided from the raw receipt rows.
+    """
+    pha = t["po_headers"].where(F.col("type_lookup_code") == kind).select(F.col("po_header_id").alias("k_hdr"))
+    pla = t["po_lines"].select(F.col("po_line_id").alias("k_line"), F.col("po_header_id").alias("k_line_hdr"))
+    plla = t["po_line_locations"].select(F.col("line_location_id").alias("k_loc"), F.col("po_line_id").alias("k_loc_line"),
+                                          F.col("po_release_id").alias("k_loc_rel"))
+    core = plla.join(pla, F.col("k_loc_line") == F.col("k_line")).join(pha, F.col("k_line_hdr") == F.col("k_hdr"))
+    pda = t["po_distributions"].select(F.col("line_location_id").alias("d_loc"), F.col("po_distribution_id").alias("d_id"),
+                                       F.col("req_distribution_id").alias("po_key"))
+    if kind == STANDARD:
+        return core.select("k_loc").join(pda, F.col("k_loc") == F.col("d_loc")).select("po_key")
+    rel = t["po_releases"].select(F.col("po_release_id").alias("k_rel"))
+    core = keyed_join(core, rel, "k_loc_rel", "k_rel", "left")
+    rt = t["rcv_transactions"].select(F.col("po_line_location_id").alias("r_loc"), F.col("po_header_id").alias("r_hdr"),
+                                      F.col("po_line_id").alias("r_line"), F.col("po_release_id").alias("r_rel"),
+                                      F.col("po_distribution_id").alias("r_dist"))
+    cond = same("k_hdr", "r_hdr") & same("k_line", "r_line") & same("k_rel", "r_rel")
+    rows = left_join_all(core.select("k_loc", "k_hdr", "k_line", "k_rel"), "k_loc", [
+        (rt, "r_loc", cond),
+        (pda, "d_loc", (F.col("r_dist") == F.col("d_id")) | F.col("r_dist").isNull()),
+    ])
+    return rows.select("po_key")

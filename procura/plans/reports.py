@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from procura.functions import concat_code, convert_amount
 from procura.operators import conform, lineage_chain, union_distinct
-from procura.plans.blocks import BLANKET, STANDARD, po_block, pr_block, rfq_block
+from procura.plans.blocks import BLANKET, STANDARD, po_block, po_distribution_keys, pr_block, rfq_block
 from procura.plans.schema import LEGACY_SCHEMA, REPORT_SCHEMA
 
 Tables = Mapping[str, DataFrame]
@@ -197,8 +197,9 @@ def report_blanket(t: Tables, as_of: str = DEFAULT_AS_OF, legacy: bool = False)
     """Blanket orders and releases ⟗ BLANKET-sourced requisitions."""
     po = _narrow_po(po_block(t, as_of, BLANKET, legacy=legacy), BLANKET, legacy)
     pr = pr_block(t, as_of, sourced=True)
-    return _project(lineage_chain(po, pr, None, _PO_KEY, "DISTRIBUTION_ID", po_spread=_PO_SPREAD, pr_spread=_PR_SPREAD),
-                    BLANKET, legacy)
+    chained = lineage_chain(po, pr, None, _PO_KEY, "DISTRIBUTION_ID", po_spread=_PO_SPREAD, pr_spread=_PR_SPREAD,
+                            po_keys=po_distribution_keys(t, BLANKET))
+    return _project(chained, BLANKET, legacy)
 
 
 def report_standard(t: Tables, as_of: str = DEFAULT_AS_OF, legacy: bool = False, dedupe_rfq: bool = False) -> DataFrame:
@@ -208,7 +209,8 @@ def report_standard(t: Tables, as_of: str = DEFAULT_AS_OF, legacy: bool = False,
     pr = pr_block(t, as_of, sourced=False)
     rfq = rfq_block(t, as_of, legacy=legacy, dedupe_rfq=dedupe_rfq)
     chained = lineage_chain(po, pr, rfq, _PO_KEY, "DISTRIBUTION_ID", "ad_distribution_id",
-                            po_spread=_PO_SPREAD, pr_spread=_PR_SPREAD, rfq_spread=["ad_distribution_id"])
+                            po_spread=_PO_SPREAD, pr_spread=_PR_SPREAD, rfq_spread=["ad_distribution_id"],
+                            po_keys=po_distribution_keys(t, STANDARD))
     return _project(chained, STANDARD, legacy)
 
 
