@@ -152,3 +152,16 @@ def test_union_is_distinct_of_both(tables):
     b, s = report_blanket(tables, AS_OF), report_standard(tables, AS_OF)
     assert u.count() == b.unionByName(s).distinct().count()
     assert u.exceptAll(b.unionByName(s).distinct()).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["BLANKET", "STANDARD"])
+def test_order_key_set_matches_order_block(spark, tables, sf_small, kind):
+    """The narrow key plan used by the lineage join must equal the keys that
+    the full order block produces (fixture and derived driver data)."""
+    from procura.plans.blocks import po_block, po_distribution_keys
+    from procura.sources.derived import derived_tables
+
+    for t in (tables, derived_tables(spark, sf_small)):
+        full = po_block(t, AS_OF, kind).select("pda_req_distribution_id").where("pda_req_distribution_id is not null").distinct()
+        fast = po_distribution_keys(t, kind).where("po_key is not null").distinct()
+        assert full.exceptAll(fast).count() == 0 and fast.exceptAll(full).count() == 0
