@@ -5,7 +5,6 @@ scan."""
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
 
 from procura.operators import drill
 from procura.plans.reports import report_blanket, report_standard, report_union
