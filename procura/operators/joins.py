@@ -40,10 +40,11 @@ def _as_list(x: str | Sequence[str]) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def _any_null(keys: Sequence[str]) -> Column:
+def _any_null(df: DataFrame, keys: Sequence[str]) -> Column:
     any_null = None
     for k in keys:
-        any_null = F.col(k).isNull() if any_null is None else (any_null | F.col(k).isNull())
+        c = df[f"`{k}`"].isNull()
+        any_null = c if any_null is None else (any_null | c)
     return any_null
 
 
@@ -54,13 +55,15 @@ def _id_columns(df: DataFrame) -> list[str]:
     return ids or list(df.columns)
 
 
-def _salt(df: DataFrame, keys: list[str], name: str, spread_by: Sequence[str] | None) -> DataFrame:
-    basis = [F.col(f"`{c}`") for c in (spread_by or _id_columns(df))]
+def _salt(df: DataFrame, keys: Sequence[str], spread_by: Sequence[str] | None) -> Column:
+    """Salt of a preserved side: 0 for a row that can match, a hash of the
+    row's identity (1..SALT_BUCKETS) for a row with a NULL key."""
+    basis = [df[f"`{c}`"] for c in (spread_by or _id_columns(df))]
     spread = F.pmod(F.xxhash64(*basis), F.lit(SALT_BUCKETS)) + F.lit(1)
-    return df.withColumn(name, F.when(_any_null(keys), spread).otherwise(F.lit(0)))
+    return F.when(_any_null(df, keys), spread).otherwise(F.lit(0).cast("bigint"))
 
 
-def _zero_salt(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+def _zero_salt(df: DataFrame, keys: Sequence[str]) -> Column:
     """Salt of the non-preserved side: always 0.
 
     Written as ``pmod(hash(key), 1)`` rather than a literal (or a NULL test,
@@ -68,7 +71,7 @@ def _zero_salt(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     it into a constant, move it out of the join keys and leave the NULL-keyed
     rows of the other side unspread.
     """
-    return df.withColumn(name, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(1)))
+    return F.pmod(F.xxhash64(*[df[f"`{k}`"] for k in keys]), F.lit(1))
 
 
 def same(a: str, b: str) -> Column:
@@ -104,29 +107,18 @@ def keyed_join(
         raise ValueError("key lists differ in length")
     cond = None
     for a, b in zip(lk, rk):
-        c = left[a] == right[b]
+        c = left[f"`{a}`"] == right[f"`{b}`"]
         cond = c if cond is None else cond & c
-    salt_l = salt_r = None
     if spread_nulls and how in ("left", "left_outer", "full", "full_outer", "outer"):
-        salt_l = _uid("sl")
-        left = _salt(left, lk, salt_l, spread_by)
-        salt_r = _uid("sr")
-        if how in ("full", "full_outer", "outer"):
-            right = _salt(right, rk, salt_r, spread_by_right)
-        else:
-            right = _zero_salt(right, rk, salt_r)
-        cond = None
-        for a, b in zip(lk, rk):
-            c = left[a] == right[b]
-            cond = c if cond is None else cond & c
-        cond = cond & (left[salt_l] == right[salt_r])
+        # the salts are extra join-key expressions (no helper columns)
+        full = how in ("full", "full_outer", "outer")
+        right_salt = _salt(right, rk, spread_by_right) if full else _zero_salt(right, rk)
+        cond = cond & (_salt(left, lk, spread_by) == right_salt)
     if extra is not None:
         cond = cond & extra
     if right_hint:
         right = right.hint(right_hint)
-    out = left.join(right, cond, how)
-    drop = [c for c in (salt_l, salt_r) if c]
-    return out.drop(*drop) if drop else out
+    return left.join(right, cond, how)
 
 
 def left_join_all(
@@ -143,16 +135,14 @@ def left_join_all(
     the rows already hash-partitioned and add no exchange of the (growing,
     wide) left rows. Each entry of ``rights`` is ``(frame, key, residual)``.
     """
-    salt = _uid("sl")
-    out = _salt(left, [left_key], salt, spread_by)
+    salt = _salt(left, [left_key], spread_by)  # one expression reused by every join
+    out = left
     for right, right_key, extra in rights:
-        rs = _uid("sr")
-        r = _zero_salt(right, [right_key], rs)
-        cond = (out[left_key] == r[right_key]) & (out[salt] == r[rs])
+        cond = (left[f"`{left_key}`"] == right[f"`{right_key}`"]) & (salt == _zero_salt(right, [right_key]))
         if extra is not None:
             cond = cond & extra
-        out = out.join(r, cond, "left").drop(rs)
-    return out.drop(salt)
+        out = out.join(right, cond, "left")
+    return out
 
 
 def _guard(col: Column, cnt: str, what: str) -> Column:
@@ -278,12 +268,11 @@ def full_outer(
     # hash join with the right (one row per key) as build side: the wide left
     # rows stream through without being sorted
     matched = keyed_join(left, right, left_key, right_key, "left", spread_by=spread_left, right_hint="shuffle_hash")
-    fk, ks, rs = _uid("fk"), _uid("ks"), _uid("rs")
+    fk = _uid("fk")
     src = left.select(F.col(f"`{left_key}`").alias(fk)) if left_keys is None else left_keys.select(F.col(left_keys.columns[0]).alias(fk))
     keys = src.where(F.col(fk).isNotNull()).distinct()
-    keys = keys.select(fk, F.pmod(F.xxhash64(F.col(fk)), F.lit(1)).alias(ks))
-    r = _salt(right, [right_key], rs, spread_right)
-    right_only = r.join(keys, (r[right_key] == keys[fk]) & (r[rs] == keys[ks]), "left_anti").drop(rs)
+    cond = (right[f"`{right_key}`"] == keys[fk]) & (_salt(right, [right_key], spread_right) == _zero_salt(keys, [fk]))
+    right_only = right.join(keys, cond, "left_anti")
     return matched.unionByName(right_only, allowMissingColumns=True)
 
 
