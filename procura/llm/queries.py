@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procura.llm import byte_bpe, sharding
+from procura.llm import byte_bpe, chat, html_text, sharding, warc
 from procura.llm.common import read_table
 
 #: Byte limit of a shard.
@@ -23,14 +23,38 @@ def op1_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), "shard", "shard_depth", "shard_bytes", "shard_rows")
 
 
+def op4_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"), "html", ["page_id", "url"])
+
+
+def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    path = warc.write_archives(pages, "page_id", "url", F.encode("html", "UTF-8"))
+    kind = pages.schema["page_id"].dataType
+    return warc.read_archives(spark, path).select(
+        F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"), "url"
+    )
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return byte_bpe.encode_decode(docs, "text", public_tokenizers.path(RANKS), public_tokenizers.PATTERN, ["doc_id"], digests=True)
 
 
+def op10_typed_parts_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "\\### Assistant: </turn> ok"
+    probe = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], turns.schema)
+    formatted = chat.format_turns(turns.unionByName(probe), "conv_id", "turn", "role", chat.text_part(F.col("text")))
+    return chat.read_conversations(formatted, "conv_id", "turn")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_extendible_sharding": op1_extendible_sharding,
+    "op4_tag_path_ratios": op4_tag_path_ratios,
+    "op8_warc_segments": op8_warc_segments,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_typed_parts_chat": op10_typed_parts_chat,
 }
 
 OP1_SQL = f"""
