@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procura.llm import byte_bpe, chat, html_text, sharding, warc
+from procura.llm import byte_bpe, chat, html_text, sharding, toxicity, warc
 from procura.llm.common import read_table
 
 #: Byte limit of a shard.
@@ -23,6 +23,26 @@ def op1_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), "shard", "shard_depth", "shard_bytes", "shard_rows")
 
 
+def learnable(key: str):
+    """Labels that may be learned from: those whose key's CRC does not fall in the held-out third."""
+    return F.crc32(F.col(key).cast("string").cast("binary")) % 3 != 1
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    return toxicity.fit(docs, read_table(spark, sf_dir, "labels"), "doc_id", F.col("text"), "toxic", learnable("doc_id"))
+
+
+#: Least score of a document that counts as toxic.
+TOXIC = 0.7
+
+
+def op3_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs.select("doc_id", "text"), F.col("text"), toxicity_model(spark, docs, sf_dir))
+    held_out = F.coalesce(~learnable("doc_id"), F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"), "evidence")
+
+
 def op4_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read_table(spark, sf_dir, "pages"), "html", ["page_id", "url"])
 
@@ -51,6 +71,7 @@ def op10_typed_parts_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_extendible_sharding": op1_extendible_sharding,
+    "op3_toxicity_neighbours": op3_toxicity_neighbours,
     "op4_tag_path_ratios": op4_tag_path_ratios,
     "op8_warc_segments": op8_warc_segments,
     "op9_byte_bpe": op9_byte_bpe,
