@@ -18,9 +18,9 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def op1_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    sharded = sharding.extendible_shards(docs, "doc_id", F.octet_length("text"), SHARD_BYTES)
-    return sharded.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), "shard", "shard_depth", "shard_bytes", "shard_rows")
+    docs = read_table(spark, sf_dir, "documents").withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint"))
+    sharded = sharding.extendible_shards(docs, "doc_id", F.col("n_bytes"), SHARD_BYTES)
+    return sharded.select("doc_id", "n_bytes", "shard", "shard_depth", "shard_bytes", "shard_rows")
 
 
 def learnable(key: str):
