@@ -33,7 +33,7 @@ from procura.llm.common import least_reachable, stored
 
 #: Sign bits of a sort key, neighbours compared on either side, and the chance to find a pair at the threshold.
 KEY_BITS = 48
-WINDOW = 64
+WINDOW = 256
 RECALL = 0.98
 MAX_PASSES = 64
 
@@ -142,7 +142,7 @@ def _rows(a: list[int], b: list[int], edge: list[tuple], side: int, place: int)
             pa.array(a + [None] * m, pa.int64()),
             pa.array(b + [None] * m, pa.int64()),
             pa.array([0] * n + [side] * m, pa.int32()),
-            pa.array([place + (side > 0)] * (n + m), pa.int32()),
+            pa.array([place] * (n + m), pa.int32()),
             pa.array([None] * n + [e[0] for e in edge], pa.int32()),
             pa.array([None] * n + [e[1] for e in edge], pa.int64()),
             pa.array([None] * n + [e[2] for e in edge], pa.binary()),
@@ -152,19 +152,32 @@ def _rows(a: list[int], b: list[int], edge: list[tuple], side: int, place: int)
 
 
 def _across(window: int, threshold: float):
-    """Links between the last rows of one partition and the first rows of the next: at most two windows of rows a group."""
+    """Links between a partition's last rows and the first rows of those after it: about two windows of rows a group."""
 
     def apply(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("side", "ord", "dim", "grp", "vec")), strict=True), key=lambda r: (-r[0], r[1]))
-        before = sum(r[0] > 0 for r in rows)
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("ahead", "place", "ord", "dim", "grp", "vec")), strict=True), key=lambda r: r[:3])
+        before = sum(not r[0] for r in rows)
         if not 0 < before < len(rows):
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        a, b = _close([r[2] for r in rows], [r[3] for r in rows], [r[4] for r in rows], before, window, threshold)
+        a, b = _close([r[3] for r in rows], [r[4] for r in rows], [r[5] for r in rows], before, window, threshold)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return apply
 
 
+def _reach(heads: dict[int, int], window: int) -> list[tuple[int, int]]:
+    """(partition, earlier partition) that have rows within a window of each other; small partitions reach over several."""
+    out, order = [], sorted(heads)
+    for i, place in enumerate(order):
+        between = 0
+        for earlier in reversed(order[:i]):
+            if between >= window:
+                break
+            out.append((place, earlier))
+            between += heads[earlier]
+    return out
+
+
 def near_links(vectors: DataFrame, threshold: float, window: int = WINDOW, passes: int | None = None) -> DataFrame:
     """(a, b), a < b: distinct linked pairs of the rows of ``vectors`` (grp long, vec binary of doubles)."""
     runs = passes or passes_for(vectors.count(), threshold, window)
@@ -176,7 +189,12 @@ def near_links(vectors: DataFrame, threshold: float, window: int = WINDOW, passe
         seen = stored(seen, "embedding-pass")
         inner = seen.where("side = 0").select("a", "b")
         edge = seen.where("side != 0").select("place", "side", "ord", "dim", "grp", "vec")
-        outer = edge.groupBy("place").applyInArrow(_across(window, threshold), "a long, b long")
+        # a row a partition, not of the data: how many first rows each partition has given
+        heads = {r[0]: r[1] for r in edge.where("side < 0").groupBy("place").count().collect()}
+        reach = vectors.sparkSession.createDataFrame(_reach(heads, window), "place int, at int")
+        tails = edge.where("side > 0").select(F.col("place").alias("at"), F.lit(False).alias("ahead"), "place", "ord", "dim", "grp", "vec")
+        ahead = edge.where("side < 0").join(F.broadcast(reach), "place").select("at", F.lit(True).alias("ahead"), "place", "ord", "dim", "grp", "vec")
+        outer = tails.unionByName(ahead).groupBy("at").applyInArrow(_across(window, threshold), "a long, b long")
         pairs = inner.unionByName(outer)
         found = pairs if found is None else found.unionByName(pairs)
     return stored(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct(), "embedding-links")
