@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procura.llm import byte_bpe, chat, embedding_dedup, html_text, sharding, toxicity, warc
+from procura.llm import byte_bpe, chat, embedding_dedup, html_text, sharding, substring_dedup, toxicity, warc
 from procura.llm.common import read_table
 
 #: Byte limit of a shard.
@@ -55,6 +55,11 @@ def op5_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", NEAR_COSINE)
 
 
+def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return cleaned.select("doc_id", "text", "n_sentences", "n_removed")
+
+
 def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
     path = warc.write_archives(pages, "page_id", "url", F.encode("html", "UTF-8"))
@@ -82,6 +87,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity_neighbours": op3_toxicity_neighbours,
     "op4_tag_path_ratios": op4_tag_path_ratios,
     "op5_sorted_projections": op5_sorted_projections,
+    "op6_sentence_spans": op6_sentence_spans,
     "op8_warc_segments": op8_warc_segments,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_typed_parts_chat": op10_typed_parts_chat,
