@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procura.llm import byte_bpe, chat, embedding_dedup, html_text, sharding, substring_dedup, toxicity, warc
+from procura.llm import byte_bpe, chat, decontamination, embedding_dedup, html_text, sharding, substring_dedup, toxicity, warc
 from procura.llm.common import read_table
 
 #: Byte limit of a shard.
@@ -23,6 +23,11 @@ def op1_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded.select("doc_id", "n_bytes", "shard", "shard_depth", "shard_bytes", "shard_rows")
 
 
+def op2_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return decontamination.contaminated_pairs(docs, "doc_id", "text", items, "item_id", "text")
+
+
 def learnable(key: str):
     """Labels that may be learned from: those whose key's CRC does not fall in the held-out third."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % 3 != 1
@@ -84,6 +89,7 @@ def op10_typed_parts_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_extendible_sharding": op1_extendible_sharding,
+    "op2_simhash_windows": op2_simhash_windows,
     "op3_toxicity_neighbours": op3_toxicity_neighbours,
     "op4_tag_path_ratios": op4_tag_path_ratios,
     "op5_sorted_projections": op5_sorted_projections,
