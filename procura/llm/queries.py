@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procura.llm import byte_bpe, chat, decontamination, embedding_dedup, html_text, sharding, substring_dedup, toxicity, warc
+from procura.llm import byte_bpe, chat, decontamination, embedding_dedup, html_text, ngram_join, sharding, substring_dedup, toxicity, warc
 from procura.llm.common import read_table
 
 #: Byte limit of a shard.
@@ -65,6 +65,14 @@ def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "n_sentences", "n_removed")
 
 
+#: Words of a shingle and least similarity, in per cent, of linked documents.
+JOIN_SHINGLE, JOIN_PERCENT = 3, 90
+
+
+def op7_grouped_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_classes(read_table(spark, sf_dir, "documents"), "doc_id", "text", JOIN_SHINGLE, JOIN_PERCENT)
+
+
 def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
     path = warc.write_archives(pages, "page_id", "url", F.encode("html", "UTF-8"))
@@ -94,6 +102,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_tag_path_ratios": op4_tag_path_ratios,
     "op5_sorted_projections": op5_sorted_projections,
     "op6_sentence_spans": op6_sentence_spans,
+    "op7_grouped_prefixes": op7_grouped_prefixes,
     "op8_warc_segments": op8_warc_segments,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_typed_parts_chat": op10_typed_parts_chat,
