@@ -10,11 +10,53 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from procura.llm import byte_bpe, decontamination, ngram_join, substring_dedup, toxicity
 from procura.llm.common import read_table, stored
+from procura.llm.queries import RANKS, TOXIC, toxicity_model
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+#: Near duplicates of the pipeline: words of a shingle, least Jaccard similarity in per cent.
+SHINGLE, PERCENT = 5, 80
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below the threshold."""
+    scored = toxicity.score(docs, F.col("text"), toxicity_model(spark, docs, sf_dir))
+    return scored.where(F.col("score") < TOXIC).select(docs.columns)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one of least id, of every class of near duplicates."""
+    return ngram_join.one_of_each(docs, "doc_id", "text", SHINGLE, PERCENT)
+
+
+def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the sentences that another document has first."""
+    cleaned = substring_dedup.remove_repeats(docs, "doc_id", "text")
+    return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    return decontamination.decontaminate(docs, "text", read_table(spark, sf_dir, "benchmark"), "item_id", "text")
+
+
+def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packed token ids of every document, and digests of them and of what they decode to."""
+    coded = byte_bpe.encode_decode(docs, "text", public_tokenizers.path(RANKS), public_tokenizers.PATTERN, ["doc_id", "lang", "source"])
+    return coded.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", without_toxic),
+    ("ngram_join", without_near_copies),
+    ("substring_dedup", without_repeated_passages),
+    ("decontamination", without_benchmark),
+    ("byte_bpe", tokenized),
+]
 
 #: Hash and similarity stages on whole texts have no SQL form; the tests hold them against brute force.
 ORACLE_SQL = None

@@ -131,7 +131,7 @@ def _sets_of(docs: DataFrame, key: str, text: str, k: int, sids: DataFrame) -> D
 
     Up to BROADCAST_ROWS named sets go to all tasks; more meet the texts by a shuffle.
     """
-    wanted = F.broadcast(sids.select("rep").distinct()) if sids.count() <= BROADCAST_ROWS else sids.select("rep").distinct()
+    wanted = _small(sids.select("rep").distinct())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,3 +241,48 @@ def jaccard_classes(docs: DataFrame, key: str, text: str, k: int, percent: int)
     out = placed.join(classes, "component").select("id", "n", "component_id", "class_size")
     empty = rows.where("n = 0").select("id", "n", F.col("id").alias("component_id"), F.lit(1).cast("bigint").alias("class_size"))
     return out.unionByName(empty).select(F.col("id").alias(key), F.col("n").alias("n_shingles"), "component_id", "class_size")
+
+
+def one_of_each(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
+    """The rows of ``docs`` without those that are not the first of their class.
+
+    The first is the row of least id, then of least set digest; of rows with
+    equal id and equal set one stays. Documents without words all stay. Only
+    the dropped (id, digest) pairs meet the texts again.
+    """
+    rows, linked = components(docs, key, text, k, percent)
+    full = rows.where("n > 0").groupBy("id", "sid").agg(F.count(F.lit(1)).alias("copies"))
+    placed = full.join(linked.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    # null ids come last
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "sid")
+    classes = placed.groupBy("component").agg(F.min(rank).alias("first"))
+    placed = stored(placed.join(classes, "component").withColumn("stays", rank == F.col("first")), "ngram-classes")
+    gone = placed.where("not stays").select(F.col("id").alias("__id"), F.col("sid").alias("__gone"))
+    again = placed.where("stays and copies > 1").select(F.col("id").alias("__id"), F.col("sid").alias("__gone"))
+    named = _with_digest(docs, text, k)
+    same = F.col(key).cast("bigint").eqNullSafe(F.col("__id")) & (F.col("__sid") == F.col("__gone"))
+    kept = named.join(_small(gone), same, "left_anti")
+    if again.head(1):
+        single = kept.join(_small(again), same, "left_semi").dropDuplicates([key, "__sid"])
+        kept = kept.join(_small(again), same, "left_anti").unionByName(single)
+    return kept.drop("__sid")
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """Marked for broadcast if it has at most BROADCAST_ROWS rows, as counted."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _with_digest(docs: DataFrame, text: str, k: int) -> DataFrame:
+    names = docs.columns
+    fields = "".join(f"`{c}` {t}, " for c, t in docs.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, n in slices(batch.column(0)):
+                part = batch.slice(i, n)
+                values, first = _sets(part.column(0), k)
+                sids = [digest(values[a:b].tobytes()) for a, b in zip(first[:-1], first[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(sids, pa.binary())], names=[*names, "__sid"])
+
+    return docs.select(docs[text].alias("__text"), *[docs[c] for c in names]).mapInArrow(run, f"{fields}`__sid` binary")
