@@ -162,7 +162,9 @@ def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def _unzipped(data: bytes) -> bytes:
-    """All members of a gzip file."""
+    """All members of a gzip file; the bytes of a plain one."""
+    if not data.startswith(b"\x1f\x8b"):
+        return data
     out = []
     while data:
         member = zlib.decompressobj(31)
