@@ -28,10 +28,6 @@ from procura.functions.expr import effective_on
 
 _ids = itertools.count()
 
-#: number of distinct salt values given to NULL-keyed rows
-SALT_BUCKETS = 4096
-
-
 def _uid(prefix: str) -> str:
     return f"__{prefix}{next(_ids)}"
 
@@ -57,10 +53,9 @@ def _id_columns(df: DataFrame) -> list[str]:
 
 def _salt(df: DataFrame, keys: Sequence[str], spread_by: Sequence[str] | None) -> Column:
     """Salt of a preserved side: 0 for a row that can match, a hash of the
-    row's identity (1..SALT_BUCKETS) for a row with a NULL key."""
+    row's identity for a row with a NULL key (as many values as rows)."""
     basis = [df[f"`{c}`"] for c in (spread_by or _id_columns(df))]
-    spread = F.pmod(F.xxhash64(*basis), F.lit(SALT_BUCKETS)) + F.lit(1)
-    return F.when(_any_null(df, keys), spread).otherwise(F.lit(0).cast("bigint"))
+    return F.when(_any_null(df, keys), F.xxhash64(*basis)).otherwise(F.lit(0).cast("bigint"))
 
 
 def _zero_salt(df: DataFrame, keys: Sequence[str]) -> Column:
@@ -92,7 +87,6 @@ def keyed_join(
     spread_nulls: bool = True,
     spread_by: Sequence[str] | None = None,
     spread_by_right: Sequence[str] | None = None,
-    right_hint: str | None = None,
 ) -> DataFrame:
     """Equi-join on ``left_keys == right_keys`` (plus optional residual
     ``extra``) for ``how`` in inner/left/full.
@@ -116,33 +110,43 @@ def keyed_join(
         cond = cond & (_salt(left, lk, spread_by) == right_salt)
     if extra is not None:
         cond = cond & extra
-    if right_hint:
-        right = right.hint(right_hint)
     return left.join(right, cond, how)
 
 
-def left_join_all(
+def left_join_splittable(
     left: DataFrame,
+    right: DataFrame,
     left_key: str,
-    rights: Sequence[tuple[DataFrame, str, Column | None]],
-    *,
-    spread_by: Sequence[str] | None = None,
+    right_key: str,
+    unmatched: DataFrame,
+    told: Mapping[str, str],
+    extra: Column | None = None,
 ) -> DataFrame:
-    """Chain of left joins that all use the same left key.
-
-    The left side is salted once and every join uses the identical
-    ``(key, salt)`` pair, so after the first shuffle the following joins find
-    the rows already hash-partitioned and add no exchange of the (growing,
-    wide) left rows. Each entry of ``rights`` is ``(frame, key, residual)``.
+    """Left join written as one inner join, so that AQE can split a hot key on
+    either side (an outer join cannot be split on its nullable side).
+
+    ``unmatched`` holds, in the columns ``told`` names (left column -> column
+    of ``unmatched``), one distinct row per combination of left values that
+    no right row matches. It comes from a narrow plan, and its rows join the
+    right side as placeholders: a left row meets either its matches or its
+    placeholder, whose right columns are NULL. The key carries a constant
+    expression, so the join has an exchange of its own and a neighbouring
+    join on the same key does not forbid the split.
     """
-    salt = _salt(left, [left_key], spread_by)  # one expression reused by every join
-    out = left
-    for right, right_key, extra in rights:
-        cond = (left[f"`{left_key}`"] == right[f"`{right_key}`"]) & (salt == _zero_salt(right, [right_key]))
-        if extra is not None:
-            cond = cond & extra
-        out = out.join(right, cond, "left")
-    return out
+    flag, own = _uid("ph"), {c: _uid("k") for c in told}
+    key = _uid("j")
+    stand_in = unmatched.select(
+        *[F.col(u).alias(own[c]) for c, u in told.items()], F.col(told[left_key]).alias(key), F.lit(True).alias(flag)
+    )
+    ext = right.select(*[F.col(f"`{c}`") for c in right.columns], F.col(f"`{right_key}`").alias(key), F.lit(False).alias(flag))
+    ext = ext.unionByName(stand_in, allowMissingColumns=True)
+    same_row = F.col(flag)
+    for c, k in own.items():
+        same_row = same_row & left[f"`{c}`"].eqNullSafe(F.col(k))
+    match = ~F.col(flag) if extra is None else (~F.col(flag) & extra)
+    own_exchange = [F.pmod(F.xxhash64(c, F.lit(key)), F.lit(1)) for c in (left[f"`{left_key}`"], ext[key])]  # always 0
+    cond = (left[f"`{left_key}`"] == ext[key]) & (own_exchange[0] == own_exchange[1]) & (same_row | match)
+    return left.join(ext, cond, "inner").drop(key, flag, *own.values())
 
 
 def _guard(col: Column, cnt: str, what: str) -> Column:
@@ -265,9 +269,7 @@ def full_outer(
     frame holding exactly the key values of ``left``, is supplied from a
     cheaper plan.
     """
-    # hash join with the right (one row per key) as build side: the wide left
-    # rows stream through without being sorted
-    matched = keyed_join(left, right, left_key, right_key, "left", spread_by=spread_left, right_hint="shuffle_hash")
+    matched = keyed_join(left, right, left_key, right_key, "left", spread_by=spread_left)
     fk = _uid("fk")
     src = left.select(F.col(f"`{left_key}`").alias(fk)) if left_keys is None else left_keys.select(F.col(left_keys.columns[0]).alias(fk))
     keys = src.where(F.col(fk).isNotNull()).distinct()
@@ -298,7 +300,7 @@ def lineage_chain(
     full joins associate. The narrow PR and RFQ rows meet first and the wide
     order rows are shuffled once. In each join the side that can hold a hot
     key (many orders or RFQ lines per requisition distribution) is the left,
-    skew-splittable one; the requisition side has one row per key.
+    skew-splittable one. No join strategy is forced: sort-merge joins spill.
     """
     if rfq is not None:
         pr = full_outer(rfq, pr, rfq_key or pr_key, pr_key, spread_left=rfq_spread, spread_right=pr_spread)

@@ -36,7 +36,7 @@ from procura.operators import (
     dated_lookup,
     keyed_join,
     last_action_rows,
-    left_join_all,
+    left_join_splittable,
     last_event,
     latest_per_key,
     max_by_key,
@@ -47,17 +47,16 @@ from procura.operators.joins import same
 
 Tables = Mapping[str, DataFrame]
 
-# Fixed values used by the reports (document types, action codes, lookup
-# types, statuses, and the verification-note exclusion list).
+# Fixed values used by the reports (document types, action codes, statuses)
+# and defaults of the parameters that name lookup types.
 STANDARD, BLANKET = "STANDARD", "BLANKET"
 APPROVE = "APPROVE"
 OPEN_RELEASE_EXCLUDED = ("APPROVED", "REJECTED", "INCOMPLETE")
-INSPECTION_LOOKUP = "XXOLNG_INSPECTION_GROUP"
-QS_LOOKUP = "XXOLNG_BPA_EVA_QS_MAPPING"
+INSPECTION_LOOKUP = "INSPECTION_GROUP"
+QS_LOOKUP = "QS_MAPPING"
 QS_EDITION = "SET1"
 INSPECTION_RESULTS = ("ACCEPT", "REJECT")
 INSPECTION_CLOSERS = ("RETURN TO VENDOR", "REJECT", "TRANSFER")
-VRN_EXCLUDED_SRNS = (7059, 7056, 7057)
 BID_VISIBILITY = (("SEALED_AUCTION", "SEALED"), ("SEALED_BIDDING", "BLIND"))
 
 
@@ -253,7 +252,7 @@ def rfq_block(t: Tables, as_of: str, legacy: bool = False, dedupe_rfq: bool = Fa
 
 # --------------------------------------------------------------- orders
 
-def po_header_block(t: Tables, as_of: str, kind: str) -> DataFrame:
+def po_header_block(t: Tables, as_of: str, kind: str, qs_lookup: str = QS_LOOKUP) -> DataFrame:
     """K15/K16 header part: PO headers of one type with their header-grain
     lookups (first approval, supplier, archive maximum, pending approver for
     standard; release first approval, contract holder/engineer, QS name for
@@ -274,7 +273,7 @@ def po_header_block(t: Tables, as_of: str, kind: str) -> DataFrame:
         pha = pha.withColumn("pha_attr3_num", num_key("pha_attribute3")).withColumn("pha_attr5_num", num_key("pha_attribute5"))
         pha = scalar_lookup(pha, now, "pha_attr3_num", "person_id", {"ch_name": "full_name"}, name="contract holder")
         pha = scalar_lookup(pha, now, "pha_attr5_num", "person_id", {"ce_name": "full_name"}, name="contract engineer")
-        qs = t["lookup_values"].where((F.col("lookup_type") == QS_LOOKUP) & (F.col("zd_edition_name") == QS_EDITION))
+        qs = t["lookup_values"].where((F.col("lookup_type") == qs_lookup) & (F.col("zd_edition_name") == QS_EDITION))
         pha = scalar_lookup(pha, qs, "pha_segment1", "lookup_code", {"qs_name": "description"}, name="QS name")
     return pha
 
@@ -286,7 +285,7 @@ def release_block(t: Tables, as_of: str) -> DataFrame:
                          {"po_pending_name": "k4_name", "po_pending_empno": "k4_empno"}, name="release approval pending with")
 
 
-def inspection_pending(t: Tables, as_of: str) -> DataFrame:
+def inspection_pending(t: Tables, as_of: str, inspection_lookup: str = INSPECTION_LOOKUP) -> DataFrame:
     """K6: sorted e-mails of the people who can inspect a RECEIVE transaction
     still awaiting inspection; one row per transaction id.
 
@@ -295,6 +294,7 @@ def inspection_pending(t: Tables, as_of: str) -> DataFrame:
     (group, tag) pairs of the active lookup rows (distinct, so duplicate
     lookup rows never multiply) → active staff holding a position with that
     tag. Duplicate e-mails from one person in two matching positions stay.
+    Receipts never meet staff rows: the list is aggregated per group first.
     """
     rt = t["rcv_transactions"]
     at = as_of_lit(as_of)
@@ -316,7 +316,7 @@ def inspection_pending(t: Tables, as_of: str) -> DataFrame:
 
     lv = t["lookup_values"]
     tags = lv.where(
-        (F.col("lookup_type") == INSPECTION_LOOKUP) & (F.col("language") == "US") & (F.col("enabled_flag") == "Y")
+        (F.col("lookup_type") == inspection_lookup) & (F.col("language") == "US") & (F.col("enabled_flag") == "Y")
         & open_interval_on(at, "start_date_active", "end_date_active")
     ).select(F.upper("description").alias("tg_grp"), F.upper("tag").alias("tg_tag")).distinct()
 
@@ -330,11 +330,13 @@ def inspection_pending(t: Tables, as_of: str) -> DataFrame:
         .join(ppl.select(F.col("person_id").alias("p_person"), F.col("email_address").alias("st_email")), F.col("a_person") == F.col("p_person"))
         .select("st_tag", "st_email")
     )
-    pairs = rcv.join(tags, F.col("k6_grp") == F.col("tg_grp")).join(staff, F.col("tg_tag") == F.col("st_tag"))
-    return pairs.groupBy("k6_transaction_id").agg(ordered_listagg_expr("st_email").alias("k6_pending_with"))
+    # the list depends on the group alone: build it once per group, then give it to every receipt
+    lists = tags.join(staff, F.col("tg_tag") == F.col("st_tag")).groupBy("tg_grp").agg(ordered_listagg_expr("st_email").alias("k6_pending_with"))
+    return rcv.join(lists, F.col("k6_grp") == F.col("tg_grp")).select("k6_transaction_id", "k6_pending_with")
 
 
-def receipt_chain(t: Tables, as_of: str, kind: str = STANDARD, legacy: bool = False) -> DataFrame:
+def receipt_chain(t: Tables, as_of: str, kind: str = STANDARD, legacy: bool = False,
+                  excluded_srns: Sequence[int] = (), inspection_lookup: str = INSPECTION_LOOKUP) -> DataFrame:
     """K9 source at transaction grain: receipt transaction ⟕ shipment line
     (with "Received By") ⟕ shipment header, plus inspection pending (K6,
     standard) or the service note with its verification note and line
@@ -357,10 +359,10 @@ def receipt_chain(t: Tables, as_of: str, kind: str = STANDARD, legacy: bool = Fa
     rt = keyed_join(rt, pfx(rsl, "rsl"), "rt_shipment_line_id", "rsl_shipment_line_id", "left")
     rt = keyed_join(rt, pfx(t["rcv_shipment_headers"], "rsh"), "rsl_shipment_header_id", "rsh_shipment_header_id", "left")
     if kind == STANDARD:
-        rt = attach(rt, inspection_pending(t, as_of), "rt_transaction_id", "k6_transaction_id")
+        rt = attach(rt, inspection_pending(t, as_of, inspection_lookup), "rt_transaction_id", "k6_transaction_id")
     else:
         rt = rt.withColumn("rsh_attr1_num", num_key("rsh_attribute1"))
-        rt = keyed_join(rt, srn_block(t), ["rt_po_header_id", "rsh_attr1_num", "rt_po_release_id"],
+        rt = keyed_join(rt, srn_block(t, excluded_srns), ["rt_po_header_id", "rsh_attr1_num", "rt_po_release_id"],
                         ["srh_po_header_id", "srh_srn_header_id", "srh_po_release_id"], "left")
         rt = keyed_join(rt, pfx(t["srn_lines"], "srl"), ["srh_srn_header_id", "rt_po_line_location_id"],
                         ["srl_srn_header_id", "srl_line_location_id"], "left")
@@ -377,19 +379,16 @@ def invoice_chain(t: Tables, kind: str) -> DataFrame:
     lines = t["invoice_lines"]
     if kind == STANDARD:
         lines = lines.where(flag_is("cancelled_flag", "N", "Y"))
-    # Every condition up to the payment names the invoice id, so all four
-    # joins share the distribution's invoice id as partitioning key; the
-    # source's exact conditions stay as residuals (e.g. the schedule must
-    # meet the *invoice* row, so it never matches when the invoice is absent).
-    inv = left_join_all(aida, "aida_invoice_id", [
-        (pfx(lines, "aila"), "aila_invoice_id", same("aida_invoice_line_number", "aila_line_number")),
-        (pfx(t["invoices"], "aia"), "aia_invoice_id", None),
-        (pfx(t["payment_schedules"], "apsa"), "apsa_invoice_id", same("aia_invoice_id", "apsa_invoice_id")),
-        (pfx(t["invoice_payments"], "aipa"), "aipa_invoice_id",
-         same("aia_invoice_id", "aipa_invoice_id") & same("apsa_payment_num", "aipa_payment_num")),
-    ])
-    inv = keyed_join(inv, pfx(t["checks"], "aca"), "aipa_check_id", "aca_check_id", "left")
-    return inv
+    # schedule, payment and check meet at invoice grain; the distributions,
+    # of which one invoice may have very many, come last and on the left,
+    # where a hot key can be split
+    paid = keyed_join(pfx(t["invoices"], "aia"), pfx(t["payment_schedules"], "apsa"), "aia_invoice_id", "apsa_invoice_id", "left")
+    paid = keyed_join(paid, pfx(t["invoice_payments"], "aipa"), ["aia_invoice_id", "apsa_payment_num"],
+                      ["aipa_invoice_id", "aipa_payment_num"], "left")
+    paid = keyed_join(paid, pfx(t["checks"], "aca"), "aipa_check_id", "aca_check_id", "left")
+    inv = keyed_join(aida, pfx(lines, "aila"), ["aida_invoice_id", "aida_invoice_line_number"],
+                     ["aila_invoice_id", "aila_line_number"], "left")
+    return keyed_join(inv, paid, "aida_invoice_id", "aia_invoice_id", "left")
 
 
 def distribution_chain(t: Tables, kind: str) -> DataFrame:
@@ -401,11 +400,13 @@ def distribution_chain(t: Tables, kind: str) -> DataFrame:
     return keyed_join(pda, invoice_chain(t, kind), "pda_po_distribution_id", "aida_po_distribution_id", "left")
 
 
-def srn_block(t: Tables) -> DataFrame:
+def srn_block(t: Tables, excluded_srns: Sequence[int] = ()) -> DataFrame:
     """SRN headers with their (single, non-rejected) verification
-    note; SRN ids in the exclusion list get NULLs."""
+    note; SRN ids in ``excluded_srns`` (none by default) get NULLs."""
     vrn = t["vrn_headers"].join(t["vrn_lines"].select("vrn_header_id", "srn_header_id", "comments"), "vrn_header_id")
-    vrn = vrn.where((F.col("status") != "REJECTED") & ~F.col("srn_header_id").isin(*VRN_EXCLUDED_SRNS))
+    vrn = vrn.where(F.col("status") != "REJECTED")
+    if excluded_srns:
+        vrn = vrn.where(~F.col("srn_header_id").isin(*excluded_srns))
     srh = pfx(t["srn_headers"], "srh")
     return scalar_lookup(srh, vrn, "srh_srn_header_id", "srn_header_id", {
         "vrn_number": "vrn_number", "vrn_desc": "description", "vrn_created": "creation_date",
@@ -414,31 +415,84 @@ def srn_block(t: Tables) -> DataFrame:
     }, name="verification note")
 
 
-def po_block(t: Tables, as_of: str, kind: str, legacy: bool = False) -> DataFrame:
+def _order_locations(t: Tables, kind: str) -> DataFrame:
+    """Narrow order side at location grain: the key columns of ``po_block``'s rows before any fan-out."""
+    pha = t["po_headers"].where(F.col("type_lookup_code") == kind).select(F.col("po_header_id").alias("k_hdr"))
+    pla = t["po_lines"].select(F.col("po_line_id").alias("k_line"), F.col("po_header_id").alias("k_line_hdr"))
+    plla = t["po_line_locations"].select(F.col("line_location_id").alias("k_loc"), F.col("po_line_id").alias("k_loc_line"),
+                                          F.col("po_release_id").alias("k_loc_rel"))
+    core = plla.join(pla, F.col("k_loc_line") == F.col("k_line")).join(pha, F.col("k_line_hdr") == F.col("k_hdr"))
+    if kind == BLANKET:
+        core = keyed_join(core, t["po_releases"].select(F.col("po_release_id").alias("k_rel")), "k_loc_rel", "k_rel", "left")
+        return core.select("k_loc", "k_hdr", "k_line", "k_rel")
+    return core.select("k_loc", "k_hdr", "k_line")
+
+
+def _raw_receipts(t: Tables) -> DataFrame:
+    return t["rcv_transactions"].select(
+        F.col("po_line_location_id").alias("r_loc"), F.col("po_header_id").alias("r_hdr"), F.col("po_line_id").alias("r_line"),
+        F.col("po_release_id").alias("r_rel"), F.col("po_distribution_id").alias("r_dist"))
+
+
+def _received(kind: str) -> Column:
+    """Full receipt condition between ``_order_locations`` and ``_raw_receipts``."""
+    cond = (F.col("k_loc") == F.col("r_loc")) & (F.col("k_hdr") == F.col("r_hdr")) & (F.col("k_line") == F.col("r_line"))
+    return cond & (F.col("k_rel") == F.col("r_rel")) if kind == BLANKET else cond
+
+
+def _unreceived(t: Tables, kind: str) -> DataFrame:
+    """Locations that no receipt matches."""
+    return _order_locations(t, kind).join(_raw_receipts(t), _received(kind), "left_anti").distinct()
+
+
+def _wanted_distributions(t: Tables, kind: str) -> DataFrame:
+    """(k_loc, r_dist): what the order rows ask of a location's distributions (NULL: every one)."""
+    if kind == STANDARD:
+        return _order_locations(t, kind).select("k_loc", F.lit(None).cast("bigint").alias("r_dist")).distinct()
+    named = _order_locations(t, kind).join(_raw_receipts(t), _received(kind)).select("k_loc", "r_dist")
+    none = _unreceived(t, kind).select("k_loc", F.lit(None).cast("bigint").alias("r_dist"))
+    return named.unionByName(none).distinct()
+
+
+def _raw_distributions(t: Tables) -> DataFrame:
+    return t["po_distributions"].select(F.col("line_location_id").alias("d_loc"), F.col("po_distribution_id").alias("d_id"),
+                                        F.col("req_distribution_id").alias("po_key"))
+
+
+_ASKED = "k_loc = d_loc and (r_dist is null or r_dist = d_id)"
+
+
+def po_block(t: Tables, as_of: str, kind: str, legacy: bool = False, excluded_srns: Sequence[int] = (),
+             inspection_lookup: str = INSPECTION_LOOKUP, qs_lookup: str = QS_LOOKUP) -> DataFrame:
     """K5 + K9–K16 at order grain: location [⟕ release] ⋈ line ⋈ header,
     then ⟕ receipt chain and ⟕ distribution chain (standard: every
     distribution of the location; blanket: the receipt's distribution, or
     all when the receipt names none).
 
     Narrow rows meet first (release at location grain, header lookups at
-    header grain); the two fan-out joins share one salted location key, so
-    the wide rows are shuffled once for both.
+    header grain). Both fan-out joins are written as inner joins with
+    placeholders for the rows without a match, so a location with very many
+    receipts or distributions is split over many tasks.
     """
-    pha = po_header_block(t, as_of, kind)
+    pha = po_header_block(t, as_of, kind, qs_lookup)
     plla = pfx(t["po_line_locations"], "plla")
     if kind == BLANKET:
         plla = keyed_join(plla, release_block(t, as_of), "plla_po_release_id", "pra_po_release_id", "left")
     lines = pfx(t["po_lines"], "pla").join(plla, F.col("pla_po_line_id") == F.col("plla_po_line_id"))
     po = lines.join(pha, F.col("pla_po_header_id") == F.col("pha_po_header_id"))
+    told = {"plla_line_location_id": "k_loc", "pha_po_header_id": "k_hdr", "pla_po_line_id": "k_line"}
     rt_cond = same("pha_po_header_id", "rt_po_header_id") & same("pla_po_line_id", "rt_po_line_id")
+    asked = {"plla_line_location_id": "k_loc"}
     dist_cond = None
     if kind == BLANKET:
+        told["pra_po_release_id"] = "k_rel"
+        asked["rt_po_distribution_id"] = "r_dist"
         rt_cond = rt_cond & same("pra_po_release_id", "rt_po_release_id")
         dist_cond = (F.col("rt_po_distribution_id") == F.col("pda_po_distribution_id")) | F.col("rt_po_distribution_id").isNull()
-    return left_join_all(po, "plla_line_location_id", [
-        (receipt_chain(t, as_of, kind, legacy), "rt_po_line_location_id", rt_cond),
-        (distribution_chain(t, kind), "pda_line_location_id", dist_cond),
-    ])
+    receipts = receipt_chain(t, as_of, kind, legacy, excluded_srns, inspection_lookup)
+    po = left_join_splittable(po, receipts, "plla_line_location_id", "rt_po_line_location_id", _unreceived(t, kind), told, rt_cond)
+    without = _wanted_distributions(t, kind).join(_raw_distributions(t), F.expr(_ASKED), "left_anti")
+    return left_join_splittable(po, distribution_chain(t, kind), "plla_line_location_id", "pda_line_location_id", without, asked, dist_cond)
 
 
 def po_distribution_keys(t: Tables, kind: str) -> DataFrame:
@@ -452,23 +506,4 @@ def po_distribution_keys(t: Tables, kind: str) -> DataFrame:
     appears when the location has no matching receipt, or a matching receipt
     names it or names none — decided from the raw receipt rows.
     """
-    pha = t["po_headers"].where(F.col("type_lookup_code") == kind).select(F.col("po_header_id").alias("k_hdr"))
-    pla = t["po_lines"].select(F.col("po_line_id").alias("k_line"), F.col("po_header_id").alias("k_line_hdr"))
-    plla = t["po_line_locations"].select(F.col("line_location_id").alias("k_loc"), F.col("po_line_id").alias("k_loc_line"),
-                                          F.col("po_release_id").alias("k_loc_rel"))
-    core = plla.join(pla, F.col("k_loc_line") == F.col("k_line")).join(pha, F.col("k_line_hdr") == F.col("k_hdr"))
-    pda = t["po_distributions"].select(F.col("line_location_id").alias("d_loc"), F.col("po_distribution_id").alias("d_id"),
-                                       F.col("req_distribution_id").alias("po_key"))
-    if kind == STANDARD:
-        return core.select("k_loc").join(pda, F.col("k_loc") == F.col("d_loc")).select("po_key")
-    rel = t["po_releases"].select(F.col("po_release_id").alias("k_rel"))
-    core = keyed_join(core, rel, "k_loc_rel", "k_rel", "left")
-    rt = t["rcv_transactions"].select(F.col("po_line_location_id").alias("r_loc"), F.col("po_header_id").alias("r_hdr"),
-                                      F.col("po_line_id").alias("r_line"), F.col("po_release_id").alias("r_rel"),
-                                      F.col("po_distribution_id").alias("r_dist"))
-    cond = same("k_hdr", "r_hdr") & same("k_line", "r_line") & same("k_rel", "r_rel")
-    rows = left_join_all(core.select("k_loc", "k_hdr", "k_line", "k_rel"), "k_loc", [
-        (rt, "r_loc", cond),
-        (pda, "d_loc", (F.col("r_dist") == F.col("d_id")) | F.col("r_dist").isNull()),
-    ])
-    return rows.select("po_key")
+    return _wanted_distributions(t, kind).join(_raw_distributions(t), F.expr(_ASKED)).select("po_key")

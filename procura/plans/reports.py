@@ -13,14 +13,14 @@ distributions × schedules × payments), so amount columns are not additive.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from procura.functions import concat_code, convert_amount
-from procura.operators import conform, lineage_chain, union_distinct
-from procura.plans.blocks import BLANKET, STANDARD, po_block, po_distribution_keys, pr_block, rfq_block
+from procura.operators import lineage_chain, union_distinct
+from procura.plans.blocks import BLANKET, INSPECTION_LOOKUP, QS_LOOKUP, STANDARD, po_block, po_distribution_keys, pr_block, rfq_block
 from procura.plans.schema import LEGACY_SCHEMA, REPORT_SCHEMA
 
 Tables = Mapping[str, DataFrame]
@@ -193,19 +193,23 @@ def _project(df: DataFrame, kind: str, legacy: bool) -> DataFrame:
     ])
 
 
-def report_blanket(t: Tables, as_of: str = DEFAULT_AS_OF, legacy: bool = False) -> DataFrame:
-    """Blanket orders and releases ⟗ BLANKET-sourced requisitions."""
-    po = _narrow_po(po_block(t, as_of, BLANKET, legacy=legacy), BLANKET, legacy)
+def report_blanket(t: Tables, as_of: str = DEFAULT_AS_OF, legacy: bool = False, excluded_srns: Sequence[int] = (),
+                   qs_lookup: str = QS_LOOKUP) -> DataFrame:
+    """Blanket orders and releases ⟗ BLANKET-sourced requisitions.
+
+    Service notes in ``excluded_srns`` show no verification note."""
+    po = _narrow_po(po_block(t, as_of, BLANKET, legacy, excluded_srns, qs_lookup=qs_lookup), BLANKET, legacy)
     pr = pr_block(t, as_of, sourced=True)
     chained = lineage_chain(po, pr, None, _PO_KEY, "DISTRIBUTION_ID", po_spread=_PO_SPREAD, pr_spread=_PR_SPREAD,
                             po_keys=po_distribution_keys(t, BLANKET))
     return _project(chained, BLANKET, legacy)
 
 
-def report_standard(t: Tables, as_of: str = DEFAULT_AS_OF, legacy: bool = False, dedupe_rfq: bool = False) -> DataFrame:
+def report_standard(t: Tables, as_of: str = DEFAULT_AS_OF, legacy: bool = False, dedupe_rfq: bool = False,
+                    inspection_lookup: str = INSPECTION_LOOKUP) -> DataFrame:
     """Standard orders ⟗ unsourced requisitions ⟗ RFQs (keyed on the
     requisition side)."""
-    po = _narrow_po(po_block(t, as_of, STANDARD, legacy=legacy), STANDARD, legacy)
+    po = _narrow_po(po_block(t, as_of, STANDARD, legacy, inspection_lookup=inspection_lookup), STANDARD, legacy)
     pr = pr_block(t, as_of, sourced=False)
     rfq = rfq_block(t, as_of, legacy=legacy, dedupe_rfq=dedupe_rfq)
     chained = lineage_chain(po, pr, rfq, _PO_KEY, "DISTRIBUTION_ID", "ad_distribution_id",
@@ -214,15 +218,10 @@ def report_standard(t: Tables, as_of: str = DEFAULT_AS_OF, legacy: bool = False,
     return _project(chained, STANDARD, legacy)
 
 
-def report_union(t: Tables, as_of: str = DEFAULT_AS_OF, variant: str = "final") -> DataFrame:
+def report_union(t: Tables, as_of: str = DEFAULT_AS_OF, variant: str = "final", excluded_srns: Sequence[int] = (),
+                 inspection_lookup: str = INSPECTION_LOOKUP, qs_lookup: str = QS_LOOKUP) -> DataFrame:
     """Blanket UNION standard (distinct over all columns)."""
     legacy = variant == "legacy"
     schema = LEGACY_SCHEMA if legacy else REPORT_SCHEMA
-    return union_distinct(report_blanket(t, as_of, legacy), report_standard(t, as_of, legacy), schema)
-
-
-REPORTS = {"blanket": report_blanket, "standard": report_standard, "union": report_union}
-
-
-def conform_report(df: DataFrame, legacy: bool = False) -> DataFrame:
-    return conform(df, LEGACY_SCHEMA if legacy else REPORT_SCHEMA)
+    blanket = report_blanket(t, as_of, legacy, excluded_srns, qs_lookup)
+    return union_distinct(blanket, report_standard(t, as_of, legacy, inspection_lookup=inspection_lookup), schema)

@@ -226,7 +226,7 @@ SELECT c_custkey + 5000 AS user_id, c_custkey AS employee_id FROM {customer}
 """
 
 _IG = f"""
-SELECT 'XXOLNG_INSPECTION_GROUP' AS lookup_type, 'IG' || CAST(a.n_nationkey AS STRING) AS lookup_code,
+SELECT 'INSPECTION_GROUP' AS lookup_type, 'IG' || CAST(a.n_nationkey AS STRING) AS lookup_code,
        {{tag}} AS tag, 'GRP_' || CAST(a.n_nationkey AS STRING) AS description,
        CASE WHEN a.n_nationkey % 10 = 9 THEN 'AR' ELSE 'US' END AS language,
        CASE WHEN a.n_nationkey % 8 = 7 THEN 'N' ELSE 'Y' END AS enabled_flag,
@@ -241,9 +241,9 @@ SQL["lookup_values"] = "\nUNION ALL\n".join([
     _IG.replace("{tag}", "a.n_name") + " WHERE a.n_nationkey % 4 = 0",
     # some groups map to a second tag (the next nation's name)
     _IG.replace("{tag}", "b.n_name") + " JOIN {{nation}} b ON b.n_nationkey = (a.n_nationkey + 1) % 25 WHERE a.n_nationkey % 5 = 2",
-    "SELECT 'XXOLNG_BPA_EVA_QS_MAPPING', CAST(4000000 + o_orderkey AS STRING), NULL, 'QS ' || CAST(o_custkey AS STRING), "
+    "SELECT 'QS_MAPPING', CAST(4000000 + o_orderkey AS STRING), NULL, 'QS ' || CAST(o_custkey AS STRING), "
     "'US', 'Y', NULL, NULL, 'SET1' FROM {orders} WHERE o_orderkey % 2 = 1 AND o_orderkey % 3 = 0",
-    "SELECT 'XXOLNG_BPA_EVA_QS_MAPPING', CAST(4000000 + o_orderkey AS STRING), NULL, 'QS old ' || CAST(o_custkey AS STRING), "
+    "SELECT 'QS_MAPPING', CAST(4000000 + o_orderkey AS STRING), NULL, 'QS old ' || CAST(o_custkey AS STRING), "
     "'US', 'Y', NULL, NULL, 'SET2' FROM {orders} WHERE o_orderkey % 2 = 1 AND o_orderkey % 9 = 3",
 ]).replace("{{nation}}", "{nation}")
 

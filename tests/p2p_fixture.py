@@ -85,11 +85,11 @@ ROWS: dict[str, list[tuple]] = {
     "position_definitions": [(500, "  qc1 "), (501, "QC1")],
     "users": [(77, 1), (78, 2)],
     "lookup_values": [
-        ("XXOLNG_INSPECTION_GROUP", "IG1", "QC1", "GRPA", "US", "Y", None, None, "SET1"),
-        ("XXOLNG_INSPECTION_GROUP", "IG1", "QC1", "GRPA", "US", "Y", None, None, "SET1"),
-        ("XXOLNG_INSPECTION_GROUP", "IG2", "OLD", "GRPA", "US", "Y", None, T(2023, 1, 1), "SET1"),
-        ("XXOLNG_BPA_EVA_QS_MAPPING", "B3", None, "QS Lady", "US", "Y", None, None, "SET1"),
-        ("XXOLNG_BPA_EVA_QS_MAPPING", "B3", None, "QS Other", "US", "Y", None, None, "SET2"),
+        ("INSPECTION_GROUP", "IG1", "QC1", "GRPA", "US", "Y", None, None, "SET1"),
+        ("INSPECTION_GROUP", "IG1", "QC1", "GRPA", "US", "Y", None, None, "SET1"),
+        ("INSPECTION_GROUP", "IG2", "OLD", "GRPA", "US", "Y", None, T(2023, 1, 1), "SET1"),
+        ("QS_MAPPING", "B3", None, "QS Lady", "US", "Y", None, None, "SET1"),
+        ("QS_MAPPING", "B3", None, "QS Other", "US", "Y", None, None, "SET2"),
     ],
     "suppliers": [(10, "Acme")],
     "gl_code_combinations": [(500, "01", "02", None, "04", "05", "06", "07")],

@@ -119,8 +119,11 @@ def test_t9_verification_note_strict(spark, tables):
     excl = dict(two_live)
     excl["srn_headers"] = ROWS["srn_headers"] + [(7057, 3, 3001, "SRN7057", "x", None, None, "PENDING")]
     excl["vrn_lines"] = two_live["vrn_lines"] + [(9901, 7057, "a"), (9903, 7057, "b")]
-    rows = {r["srh_srn_header_id"]: r["vrn_number"] for r in srn_block(golden_tables(spark, excl)).where("srh_srn_header_id = 7057").collect()}
-    assert rows == {7057: None}
+    excluded = srn_block(golden_tables(spark, excl), excluded_srns=(7057,)).where("srh_srn_header_id = 7057")
+    assert {r["srh_srn_header_id"]: r["vrn_number"] for r in excluded.collect()} == {7057: None}
+    # nothing is excluded unless the caller says so
+    with pytest.raises(Exception, match="more than one row"):
+        srn_block(golden_tables(spark, excl)).where("srh_srn_header_id = 7057").collect()
 
 
 def test_t10_orders_without_receipts_remain(std):

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from procura.operators import keyed_join, left_join_all, lineage_chain
+from procura.operators import keyed_join, left_join_splittable, lineage_chain
 from procura.operators.joins import same
 
 keys = st.one_of(st.none(), st.integers(0, 4))
@@ -37,14 +37,18 @@ def test_full_joins_associate(spark, po, pr, rfq):
 @given(st.lists(st.tuples(st.integers(0, 9), keys, keys), max_size=8),
        st.lists(st.tuples(keys, keys, st.integers(0, 9)), max_size=8),
        st.lists(st.tuples(keys, st.integers(0, 9)), max_size=8))
-def test_shared_key_left_joins_equal_textbook(spark, left, rts, dists):
-    """left_join_all with residual equalities == consecutive left joins with
-    the full equality conditions (receipt then distribution)."""
-    l_ = spark.createDataFrame(left, "loc_row int, loc int, hdr int")
+def test_splittable_left_joins_equal_textbook(spark, left, rts, dists):
+    """left_join_splittable, twice on one key, == consecutive left joins
+    (receipt with its residual condition, then distribution)."""
+    l_ = spark.createDataFrame(left, "loc_row int, loc int, hdr int").where("loc is not null")
     r = spark.createDataFrame(rts, "r_loc int, r_hdr int, r_v int")
     d = spark.createDataFrame(dists, "d_loc int, d_v int")
     naive = l_.join(r, (l_.loc == r.r_loc) & (l_.hdr == r.r_hdr), "left").join(d, l_.loc == d.d_loc, "left")
-    ours = left_join_all(l_, "loc", [(r, "r_loc", same("hdr", "r_hdr")), (d, "d_loc", None)])
+    key = l_.selectExpr("loc as k_loc", "hdr as k_hdr").distinct()
+    no_r = key.join(r, (key.k_loc == r.r_loc) & (key.k_hdr == r.r_hdr), "left_anti")
+    no_d = key.select("k_loc").distinct().join(d, F.col("k_loc") == d.d_loc, "left_anti")
+    ours = left_join_splittable(l_, r, "loc", "r_loc", no_r, {"loc": "k_loc", "hdr": "k_hdr"}, same("hdr", "r_hdr"))
+    ours = left_join_splittable(ours, d, "loc", "d_loc", no_d, {"loc": "k_loc"})
     cols = ["loc_row", "loc", "hdr", "r_loc", "r_hdr", "r_v", "d_loc", "d_v"]
     assert _same_rows(naive.select(*cols), ours.select(*cols))
 

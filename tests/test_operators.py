@@ -19,7 +19,7 @@ from procura.operators import (
     keyed_join,
     last_action_rows,
     latest_per_key,
-    left_join_all,
+    left_join_splittable,
     lineage_chain,
     ordered_listagg,
     scalar_lookup,
@@ -68,19 +68,53 @@ def test_salt_is_a_join_key_not_a_filter(spark):
     assert "pmod(xxhash64(rk" in join and "CASE WHEN isnull(k" in join
 
 
-def test_left_join_all_shares_partitioning(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def _skewed(spark):
+    """Join settings under which AQE splits a hot partition of a small test; returns the old values."""
+    new = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+           "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in new}
+    for k, v in new.items():
+        spark.conf.set(k, v)
+    return old
+
+
+def _restore(spark, old):
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("hot_side", ["receipts", "distributions"])
+def test_splittable_left_join_splits_a_hot_key_on_either_side(spark, hot_side):
+    old = _skewed(spark)
+    try:
+        n = 60_000
+        key = F.when(F.col("id") % 2 == 0, F.lit(5)).otherwise(F.col("id") % 400)
+        loc = spark.range(400).select(F.col("id").alias("loc"), F.col("id").alias("hdr"))
+        few = spark.range(300).select(F.col("id").alias("f_loc"), F.col("id").alias("fv"))
+        many = spark.range(0, n, 1, 8).select(key.alias("m_loc"), F.col("id").alias("mv"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+        no_few = loc.select(F.col("loc").alias("k")).join(few, F.col("k") == F.col("f_loc"), "left_anti")
+        no_many = loc.select(F.col("loc").alias("k")).join(many, F.col("k") == F.col("m_loc"), "left_anti")
+        first = (few, "f_loc", no_few), (many, "m_loc", no_many)
+        out = loc
+        for right, k, without in first if hot_side == "distributions" else first[::-1]:
+            out = left_join_splittable(out, right, "loc", k, without, {"loc": "k"})
+        assert out.where("mv is not null").count() == n
+        plain = out.select("loc", "fv", "mv", "pad")
+        assert len(plain.collect()) == n + no_many.count()
+        assert "skew=true" in plain._jdf.queryExecution().executedPlan().toString()
+    finally:
+        _restore(spark, old)
+
+
+def test_full_outer_forces_no_join_strategy(spark):
+    old = _skewed(spark)
     try:
-        left = spark.createDataFrame([(1, 7), (2, 8), (None, 9)], "loc int, hdr int")
-        a = spark.createDataFrame([(1, 7, "r1"), (1, 6, "bad")], "a_loc int, a_hdr int, av string")
-        b = spark.createDataFrame([(1, "d1"), (1, "d2"), (2, "d3")], "b_loc int, bv string")
-        out = left_join_all(left, "loc", [(a, "a_loc", same("hdr", "a_hdr")), (b, "b_loc", None)])
-        assert rows(out.fillna(-1, ["loc"]), "loc", "av", "bv") == [(-1, None, None), (1, "r1", "d1"), (1, "r1", "d2"), (2, None, "d3")]
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        # one exchange of the left rows serves both joins
-        assert plan.count("Exchange hashpartitioning(loc") == 1
+        a, b = spark.range(10).toDF("k"), spark.range(5, 15).toDF("rk")
+        out = full_outer(a, b, "k", "rk")
+        assert "ShuffledHashJoin" not in out._jdf.queryExecution().executedPlan().toString() and out.count() == 15
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        _restore(spark, old)
 
 
 def test_full_outer_and_lineage_chain(spark):
