@@ -7,7 +7,7 @@ kept in their natural correlated / ``IN`` / ``NOT EXISTS`` form.
 
 from __future__ import annotations
 
-from oracle.reports import AS_OF, _pr_side, _rfq_side, pending_inspection_by_transaction, report_sql_body
+from oracle.reports import AS_OF, report_sql_body, with_helpers
 from procura.plans.schema import REPORT_SCHEMA
 from procura.sources.derived import oracle_ctes
 
@@ -199,60 +199,49 @@ UNION
 SELECT l_returnflag, CAST(NULL AS VARCHAR), CASE WHEN l_quantity > 25 THEN 'BIG' ELSE 'SMALL' END FROM lineitem
 """
 
-OPERATOR_SQL["block_pr_pending"] = oracle_ctes() + f"""
-SELECT h.segment1 AS pr_number, p.full_name AS pending_with
-FROM req_headers h
-JOIN po_action_history x ON x.object_id = h.requisition_header_id
-JOIN people_f p ON p.person_id = x.employee_id
-WHERE h.authorization_status = 'IN PROCESS' AND x.object_type_code = 'REQUISITION' AND x.action_code IS NULL
-  AND x.sequence_num = (SELECT max(y.sequence_num) FROM po_action_history y WHERE y.object_id = x.object_id)
-  AND {NOW} BETWEEN p.effective_start_date AND p.effective_end_date
+OPERATOR_SQL["block_pr_pending"] = with_helpers() + """
+SELECT pr_number, name AS pending_with FROM requisition_waiting
 """
 
-OPERATOR_SQL["block_inspection_pending"] = oracle_ctes() + "\n" + pending_inspection_by_transaction(AS_OF)
+OPERATOR_SQL["block_inspection_pending"] = with_helpers() + """
+SELECT transaction_id, mails AS pending_with FROM inspection_waiting
+"""
 
-OPERATOR_SQL["drill_down"] = oracle_ctes() + f"""
+OPERATOR_SQL["drill_down"] = with_helpers() + f"""
 SELECT * FROM ({report_sql_body('BLANKET', AS_OF)}
 UNION
 {report_sql_body('STANDARD', AS_OF)}) u
 WHERE "PO Type (Blanket/Standard)" = 'BLANKET' AND "BR Status - Blanket" = 'IN PROCESS'
 """
 
-OPERATOR_SQL["preview_top"] = oracle_ctes() + f"""
+OPERATOR_SQL["preview_top"] = with_helpers() + f"""
 SELECT * FROM ({report_sql_body('STANDARD', AS_OF)}) s
 ORDER BY {", ".join(f'"{f.name}" ASC NULLS FIRST' for f in REPORT_SCHEMA.fields)}
 LIMIT 10
 """
 
-OPERATOR_SQL["block_requisitions"] = oracle_ctes() + f"""
-SELECT CAST(pr_dist AS BIGINT) AS "DISTRIBUTION_ID", pr_no AS "PR_Number", pr_desc AS "PR_Description",
-       pr_created AS "PR_Creation_Date", pr_status AS "PR_Status", CAST(pr_line AS INTEGER) AS "PR_Line_No",
-       CAST(pr_qty AS DECIMAL(20,6)) AS "PR_Quantity", CAST(pr_price AS DECIMAL(18,6)) AS "Unit_Price",
-       CAST(pr_amount AS DECIMAL(28,6)) AS "PR_Line_Amount_OMR", pr_currency AS "PR Line Currency", pr_rush AS "RUSH_FLAG",
-       pr_need_by AS "NEED_BY_DATE", pr_approved AS "PR Latest Approved Date", pr_first_approved AS "PR Original Approved Date",
-       pr_item_code AS "Item Code", pr_item_desc AS "Item Description", pr_item_type AS "Item Type",
-       pr_sourced AS "Sourced Or Unsourced", pr_requestor AS "PR Requestor", pr_pending AS "PR Approval Pending With"
-FROM ({_pr_side(AS_OF, False)}) p
-"""
-
-OPERATOR_SQL["block_rfq"] = oracle_ctes() + f"""
-SELECT CAST(q_dist AS BIGINT) AS ad_distribution_id, q_no AS ad_number, q_status AS ad_status, q_type AS ad_type,
-       q_created AS ad_creation_date, q_closed AS ad_closed_date, q_strategy AS ad_strategy, q_te AS ad_te_date,
-       q_award AS ad_award_date, q_submit AS ad_submit_date, q_publish AS ad_publish_date, q_buyer AS ad_buyer
-FROM ({_rfq_side(AS_OF, False)}) q
-"""
-
-OPERATOR_SQL["block_po_pending"] = oracle_ctes() + f"""
-SELECT CASE WHEN x.object_type_code = 'RELEASE' THEN 'RELEASE' ELSE 'STANDARD' END AS kind,
-       CASE WHEN x.object_type_code = 'RELEASE' THEN r.po_release_id ELSE r.po_header_id END AS key_id,
-       p.full_name AS full_name, p.employee_number AS employee_number
-FROM po_action_history x
-JOIN po_releases r ON r.po_release_id = x.object_id
-JOIN people_f p ON p.person_id = x.employee_id
-WHERE x.object_type_code IN ('RELEASE', 'STANDARD')
-  AND r.authorization_status NOT IN ('APPROVED', 'REJECTED', 'INCOMPLETE')
-  AND x.sequence_num = (SELECT max(y.sequence_num) FROM po_action_history y WHERE y.object_id = x.object_id)
-  AND {NOW} BETWEEN p.effective_start_date AND p.effective_end_date
+OPERATOR_SQL["block_requisitions"] = with_helpers() + """
+SELECT CAST(distribution_id AS BIGINT) AS "DISTRIBUTION_ID", number AS "PR_Number", description AS "PR_Description",
+       creation_date AS "PR_Creation_Date", authorization_status AS "PR_Status", CAST(line_num AS INTEGER) AS "PR_Line_No",
+       CAST(quantity AS DECIMAL(20,6)) AS "PR_Quantity", CAST(unit_price AS DECIMAL(18,6)) AS "Unit_Price",
+       CAST(amount AS DECIMAL(28,6)) AS "PR_Line_Amount_OMR", currency AS "PR Line Currency", urgent_flag AS "RUSH_FLAG",
+       need_by_date AS "NEED_BY_DATE", approved_date AS "PR Latest Approved Date", first_approved AS "PR Original Approved Date",
+       item_code AS "Item Code", item_description AS "Item Description", item_type AS "Item Type",
+       'UNSOURCED' AS "Sourced Or Unsourced", requestor AS "PR Requestor", waiting_for AS "PR Approval Pending With"
+FROM requisitions WHERE document_type_code IS NULL
+"""
+
+OPERATOR_SQL["block_rfq"] = with_helpers() + """
+SELECT CAST(distribution_id AS BIGINT) AS ad_distribution_id, document_number AS ad_number, auction_status AS ad_status,
+       visibility AS ad_type, creation_date AS ad_creation_date, close_bidding_date AS ad_closed_date,
+       int_attribute6 AS ad_strategy, int_attribute4 AS ad_te_date, award_date AS ad_award_date, submitted AS ad_submit_date,
+       publish_date AS ad_publish_date, buyer AS ad_buyer
+FROM sourcing
+"""
+
+OPERATOR_SQL["block_po_pending"] = with_helpers() + """
+SELECT document AS kind, if(document = 'RELEASE', po_release_id, po_header_id) AS key_id, name AS full_name, number AS employee_number
+FROM release_waiting WHERE document IN ('RELEASE', 'STANDARD')
 """
 
 OPERATOR_SQL["block_invoice_chain"] = oracle_ctes() + """
