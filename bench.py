@@ -53,7 +53,7 @@ def main() -> None:
         derived[name].write.mode("overwrite").parquet(f"{out_dir}/{name}.parquet")
     derive_sec = time.time() - t0
 
-    t = load_tables(spark, out_dir)
+    t = load_tables(spark, out_dir, empty_as_null=False)
     as_of = DEFAULT_AS_OF
     headline = {
         "report_blanket": lambda: report_blanket(t, as_of),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from oracle.reports import AS_OF, report_sql_body, with_helpers
 from procura.plans.schema import REPORT_SCHEMA
+from procura.queries import DRILL_DOCUMENTS
 from procura.sources.derived import oracle_ctes
 
 NOW = f"TIMESTAMP '{AS_OF}'"
@@ -47,6 +48,7 @@ FROM lineitem
 WHERE coalesce(CASE l_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 'Y' ELSE 'N' END, 'N') <> 'Y'
   AND coalesce(CASE l_partkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 'Y' ELSE 'N' END, 'Y') = 'N'
   AND l_returnflag IN ('A', 'R')
+  AND CASE l_suppkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'SHIP' ELSE 'MAIL' END <> 'SHIP'
   AND ((CASE WHEN l_linenumber = 7 THEN NULL ELSE l_linestatus END) NOT IN ('O') OR l_quantity > 45)
   AND l_shipdate IS NOT NULL
 """
@@ -140,11 +142,10 @@ WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND
 """
 
 OPERATOR_SQL["cross_as_equi"] = """
-SELECT e.event_id, string_agg(s.s_name, ', ' ORDER BY s.s_name) AS suppliers
+SELECT e.event_id, string_agg(m.n_name, ', ' ORDER BY m.n_name) AS nations
 FROM events e
-CROSS JOIN supplier s
-JOIN nation sn ON sn.n_nationkey = s.s_nationkey
-WHERE upper(sn.n_name) IN (SELECT upper(n.n_name) FROM nation n WHERE n.n_nationkey = e.user_id % 25)
+CROSS JOIN nation m
+WHERE m.n_regionkey IN (SELECT n.n_regionkey FROM nation n WHERE n.n_nationkey = e.user_id % 25)
 GROUP BY e.event_id
 """
 
@@ -172,9 +173,9 @@ WHERE e.ts = (SELECT max(x.ts) FROM events x WHERE x.user_id = e.user_id) AND e.
 """
 
 OPERATOR_SQL["listagg_ordered"] = """
-SELECT c_nationkey, string_agg(seg, ', ' ORDER BY seg) AS segments
-FROM (SELECT c_nationkey, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS seg FROM customer)
-GROUP BY c_nationkey
+SELECT l_orderkey, string_agg(flag, ', ' ORDER BY flag) AS flags
+FROM (SELECT l_orderkey, CASE WHEN l_linenumber % 7 = 0 THEN NULL ELSE l_returnflag END AS flag FROM lineitem)
+GROUP BY l_orderkey
 """
 
 OPERATOR_SQL["latest_row_per_key"] = """
@@ -258,3 +259,24 @@ LEFT JOIN invoice_payments p ON p.invoice_id = i.invoice_id AND p.payment_num =
 LEFT JOIN checks c ON c.check_id = p.check_id
 WHERE coalesce(d.cancellation_flag, 'Y') = 'N'
 """
+
+OPERATOR_SQL["block_rfq_newest"] = with_helpers() + """
+SELECT CAST(distribution_id AS BIGINT) AS ad_distribution_id, document_number AS ad_number, auction_status AS ad_status,
+       visibility AS ad_type, creation_date AS ad_creation_date, close_bidding_date AS ad_closed_date,
+       int_attribute6 AS ad_strategy, int_attribute4 AS ad_te_date, award_date AS ad_award_date, submitted AS ad_submit_date,
+       publish_date AS ad_publish_date, buyer AS ad_buyer
+FROM sourcing
+JOIN (SELECT auction_header_id, arg_max(document_number, row(creation_date IS NULL, creation_date)) AS newest
+      FROM rfq_headers GROUP BY 1) n ON n.newest = document_number
+"""
+
+OPERATOR_SQL["load_conformed"] = """
+SELECT CAST(s_suppkey AS BIGINT) AS vendor_id, CASE WHEN s_nationkey % 4 <> 0 THEN s_name END AS vendor_name FROM supplier
+"""
+
+#: Report that each document drill-down filters; the documents are those of the registered queries.
+_DRILLED = {"drill_po_release": "BLANKET", "drill_po_line": "STANDARD", "drill_pr_line": "STANDARD", "drill_invoice": "STANDARD",
+            "drill_distribution": "BLANKET"}
+for _name, _kind in _DRILLED.items():
+    _where = " AND ".join(f'"{c}" = ' + (f"'{v}'" if isinstance(v, str) else str(v)) for c, v in DRILL_DOCUMENTS[_name].items())
+    OPERATOR_SQL[_name] = with_helpers() + f"\nSELECT * FROM ({report_sql_body(_kind, AS_OF)}) WHERE {_where}"

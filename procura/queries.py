@@ -34,12 +34,22 @@ from procura.operators import (
     union_distinct,
 )
 from procura.plans.blocks import BLANKET, STANDARD, inspection_pending, invoice_chain, po_pending_with, pr_block, pr_pending_with, rfq_block
+from procura.plans.drilldown import drill_document
 from procura.plans.reports import DEFAULT_AS_OF, report_blanket, report_standard, report_union
 from procura.sources.derived import derived_tables
+from procura.sources.tables import load_tables
 
 AS_OF = DEFAULT_AS_OF
 #: Service notes whose verification note the blanket report leaves out.
 EXCLUDED_SRNS = (7059, 7056, 7057)
+#: Invented documents, one per kind of drill-down.
+DRILL_DOCUMENTS = {
+    "drill_po_release": {"PO Number": "4000103", "BR Number - Blanket": 5},
+    "drill_po_line": {"PO Number": "4000102", "PO Line": 1},
+    "drill_pr_line": {"PR_Number": "1000102", "PR_Line_No": 1},
+    "drill_invoice": {"Invoice Number": "INV-102"},
+    "drill_distribution": {"DISTRIBUTION_ID": 103111},
+}
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -82,16 +92,19 @@ def decode_concat(spark, sf):
 
 
 def flag_filters(spark, sf):
-    """Equality, IN, NOT IN on a nullable column, per-flag NULL
+    """Equality, IN, NOT IN and != on nullable columns, per-flag NULL
     policy (keep vs drop), disjunction."""
     li = _t(spark, sf, "lineitem")
     keep_flag = F.when(F.col("l_orderkey") % 3 == 0, F.lit(None)).when(F.col("l_orderkey") % 3 == 1, F.lit("Y")).otherwise(F.lit("N"))
     drop_flag = F.when(F.col("l_partkey") % 3 == 0, F.lit(None)).when(F.col("l_partkey") % 3 == 1, F.lit("Y")).otherwise(F.lit("N"))
     status = F.when(F.col("l_linenumber") == 7, F.lit(None)).otherwise(F.col("l_linestatus"))
+    # != drops NULLs
+    ship = F.when(F.col("l_suppkey") % 5 == 0, F.lit(None)).when(F.col("l_suppkey") % 5 == 1, F.lit("SHIP")).otherwise(F.lit("MAIL"))
     cond = (
         ~flag_is(keep_flag, "Y", "N")
         & flag_is(drop_flag, "N", "Y")
         & F.col("l_returnflag").isin("A", "R")
+        & (ship != "SHIP")
         & ((~status.isin("O")) | (F.col("l_quantity") > 45))
         & F.col("l_shipdate").isNotNull()
     )
@@ -226,14 +239,15 @@ def anti_join_not_exists(spark, sf):
 
 def cross_as_equi(spark, sf):
     """D13, R11, E6: 'every position whose tag is mapped to the row's group'
-    — the source's ``ON 1=1`` + ``IN`` — as equi-joins through the lookup,
-    then an ordered list per row."""
+    — the source's ``ON 1=1`` + ``IN`` — as equi-joins through the lookup.
+    The list depends on the group alone: it is built once per group over a
+    dimension of fixed size and then given to every row."""
     ev = _t(spark, sf, "events").select("event_id", (F.col("user_id") % 25).alias("grp"))
-    nat = _t(spark, sf, "nation").select(F.col("n_nationkey").alias("tg_grp"), F.upper("n_name").alias("tg_tag")).distinct()
-    sup = _t(spark, sf, "supplier").join(_t(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")) \
-        .select(F.upper("n_name").alias("st_tag"), "s_name")
-    pairs = ev.join(nat, F.col("grp") == F.col("tg_grp")).join(sup, F.col("tg_tag") == F.col("st_tag"))
-    return ordered_listagg(pairs, "event_id", "s_name", "suppliers")
+    nat = _t(spark, sf, "nation")
+    tags = nat.select((F.col("n_nationkey") % 25).alias("tg_grp"), F.col("n_regionkey").alias("tg_tag")).distinct()
+    members = nat.select(F.col("n_regionkey").alias("st_tag"), "n_name")
+    lists = ordered_listagg(tags.join(members, F.col("tg_tag") == F.col("st_tag")), "tg_grp", "n_name", "nations")
+    return ev.join(lists, F.col("grp") == F.col("tg_grp")).select("event_id", "nations")
 
 
 def self_parent(spark, sf):
@@ -269,10 +283,10 @@ def last_action_row(spark, sf):
 
 
 def listagg_ordered(spark, sf):
-    """Ordered list per key; NULLs skipped, duplicates kept."""
-    c = _t(spark, sf, "customer").select(
-        "c_nationkey", F.when(F.col("c_custkey") % 7 == 0, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("seg"))
-    return ordered_listagg(c, "c_nationkey", "seg", "segments")
+    """Ordered list per key (the few lines of an order); NULLs skipped, duplicates kept."""
+    li = _t(spark, sf, "lineitem").select(
+        "l_orderkey", F.when(F.col("l_linenumber") % 7 == 0, F.lit(None)).otherwise(F.col("l_returnflag")).alias("flag"))
+    return ordered_listagg(li, "l_orderkey", "flag", "flags")
 
 
 def latest_row_per_key(spark, sf):
@@ -351,6 +365,26 @@ def drill_down(spark, sf):
     return drill(rep, **{"PO Type (Blanket/Standard)": "BLANKET", "BR Status - Blanket": "IN PROCESS"})
 
 
+def _document(report, predicate):
+    """A drill-down on one document of a report."""
+    def run(spark, sf):
+        return drill_document(derived_tables(spark, sf), lambda t: report(t, AS_OF), predicate)
+    return run
+
+
+def block_rfq_newest(spark, sf):
+    """the RFQ block with only the newest header row of every RFQ."""
+    return rfq_block(derived_tables(spark, sf), AS_OF, dedupe_rfq=True)
+
+
+def load_conformed(spark, sf):
+    """A1: canonical tables from a name -> frame map, narrowed and cast, '' read as NULL."""
+    raw = _t(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("int").alias("vendor_id"), F.when(F.col("s_nationkey") % 4 == 0, F.lit("")).otherwise(F.col("s_name")).alias("vendor_name"),
+        "s_acctbal")
+    return load_tables(spark, {"suppliers": raw}, names=("suppliers",))["suppliers"]
+
+
 def preview_top(spark, sf):
     """H1: first 10 rows of the standard report under a total order."""
     rep = report_standard(derived_tables(spark, sf), AS_OF)
@@ -389,7 +423,14 @@ OPERATOR_QUERIES: dict[str, Query] = {
     "block_rfq": block_rfq,
     "block_po_pending": block_po_pending,
     "block_invoice_chain": block_invoice_chain,
+    "block_rfq_newest": block_rfq_newest,
+    "load_conformed": load_conformed,
     "drill_down": drill_down,
+    "drill_po_release": _document(report_blanket, DRILL_DOCUMENTS["drill_po_release"]),
+    "drill_po_line": _document(report_standard, DRILL_DOCUMENTS["drill_po_line"]),
+    "drill_pr_line": _document(report_standard, DRILL_DOCUMENTS["drill_pr_line"]),
+    "drill_invoice": _document(report_standard, DRILL_DOCUMENTS["drill_invoice"]),
+    "drill_distribution": _document(report_blanket, DRILL_DOCUMENTS["drill_distribution"]),
     "preview_top": preview_top,
 }
 

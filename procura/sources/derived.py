@@ -15,7 +15,7 @@ Key scheme (h = order key, n = line number, id = h*10+n):
 PO header/requisition header/invoice/shipment header = h; PO line,
 requisition line, shipment line = id; line location = id*10+1;
 distributions = id*100+10+k; receipts = id*10+k; person = customer key;
-user = 5000 + customer key; position = nation key.
+user = 500 + customer key (so most user ids are some other person's id); position = nation key.
 """
 
 from __future__ import annotations
@@ -61,9 +61,9 @@ SELECT o_orderkey AS po_header_id,
        o_orderdate AS creation_date,
        CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderdate + INTERVAL 2 DAY END AS approved_date,
        CASE o_orderstatus WHEN 'F' THEN 'APPROVED' WHEN 'O' THEN 'IN PROCESS' ELSE 'REQUIRES REAPPROVAL' END AS authorization_status,
-       CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 4 = 1 THEN 'OMR' ELSE 'USD' END AS currency_code,
-       CAST(CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 0 ELSE 2.6 END AS DECIMAL(18,9)) AS rate,
-       o_custkey % 100 AS vendor_id,
+       CASE o_custkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 'OMR' ELSE 'USD' END AS currency_code,
+       CAST(CASE o_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 0 ELSE 2.6 END AS DECIMAL(18,9)) AS rate,
+       CAST(floor(o_custkey / 14) AS BIGINT) AS vendor_id,
        CAST(o_custkey AS STRING) AS attribute3,
        CASE WHEN o_orderkey % 9 = 0 THEN 'TBD' ELSE CAST(o_custkey + 1 AS STRING) END AS attribute5
 FROM {orders}
@@ -92,9 +92,9 @@ WHERE o_orderkey % 2 = 1 OR o_orderkey % 10 = 4
 SQL["po_distributions"] = _fan("""
 SELECT id * 100 + 10 + {k} AS po_distribution_id, id * 10 + 1 AS line_location_id,
        CASE WHEN id % 3 = 0 THEN NULL ELSE id * 100 + 10 + {k} END AS req_distribution_id,
-       h % 120 AS code_combination_id,
+       CASE WHEN h % 6 = 0 THEN -sk - 1 ELSE sk END AS code_combination_id,
        CASE WHEN n % 2 = 0 THEN pk ELSE NULL END AS wip_entity_id,
-       h % 30 AS project_id
+       sk + h % 2 AS project_id
 FROM {ln} WHERE {w}""", [("1", "1 = 1"), ("2", "n = 5")])
 
 SQL["po_headers_archive"] = _fan("""
@@ -107,15 +107,15 @@ FROM {orders} WHERE {w}""", [("1", "1 = 1"), ("2", "1 = 1")])
 SQL["po_action_history"] = "\nUNION ALL\n".join([
     "SELECT o_orderkey AS object_id, 'REQUISITION' AS object_type_code, 1 AS sequence_num, 'SUBMIT' AS action_code, "
     "o_orderdate - INTERVAL 5 DAY AS action_date, o_custkey AS employee_id FROM {orders}",
-    "SELECT o_orderkey, 'REQUISITION', 2, 'APPROVE', o_orderdate - INTERVAL 3 DAY, (o_custkey + 3) % 100 FROM {orders}",
-    "SELECT o_orderkey, 'REQUISITION', 3, 'APPROVE', o_orderdate - INTERVAL 1 DAY, (o_custkey + 5) % 100 FROM {orders} WHERE o_orderstatus <> 'P'",
-    "SELECT o_orderkey, 'PO', 4, 'APPROVE', o_orderdate + INTERVAL 2 DAY, (o_custkey + 2) % 100 FROM {orders}",
-    "SELECT o_orderkey, 'PO', 5, 'APPROVE', o_orderdate + INTERVAL 1 DAY, (o_custkey + 4) % 100 FROM {orders}",
-    "SELECT o_orderkey, 'RELEASE', 6, 'APPROVE', o_orderdate + INTERVAL 3 DAY, (o_custkey + 6) % 100 FROM {orders} WHERE o_orderkey % 2 = 1",
-    "SELECT o_orderkey, 'REQUISITION', 10 + o_orderkey % 3, NULL, o_orderdate, (o_custkey + 7) % 100 FROM {orders} WHERE o_orderstatus = 'O'",
-    "SELECT o_orderkey, 'RELEASE', 11, NULL, o_orderdate + INTERVAL 4 DAY, (o_custkey + 11) % 100 FROM {orders} "
+    "SELECT o_orderkey, 'REQUISITION', 2, 'APPROVE', o_orderdate - INTERVAL 3 DAY, o_custkey + 3 FROM {orders}",
+    "SELECT o_orderkey, 'REQUISITION', 3, 'APPROVE', o_orderdate - INTERVAL 1 DAY, o_custkey + 5 FROM {orders} WHERE o_orderstatus <> 'P'",
+    "SELECT o_orderkey, 'PO', 4, 'APPROVE', o_orderdate + INTERVAL 2 DAY, o_custkey + 2 FROM {orders}",
+    "SELECT o_orderkey, 'PO', 5, 'APPROVE', o_orderdate + INTERVAL 1 DAY, o_custkey + 4 FROM {orders}",
+    "SELECT o_orderkey, 'RELEASE', 6, 'APPROVE', o_orderdate + INTERVAL 3 DAY, o_custkey + 6 FROM {orders} WHERE o_orderkey % 2 = 1",
+    "SELECT o_orderkey, 'REQUISITION', 10 + o_orderkey % 3, NULL, o_orderdate, o_custkey + 7 FROM {orders} WHERE o_orderstatus = 'O'",
+    "SELECT o_orderkey, 'RELEASE', 11, NULL, o_orderdate + INTERVAL 4 DAY, o_custkey + 11 FROM {orders} "
     "WHERE o_orderkey % 2 = 1 AND o_orderstatus = 'O'",
-    "SELECT o_orderkey, 'STANDARD', 11, NULL, o_orderdate + INTERVAL 4 DAY, (o_custkey + 13) % 100 FROM {orders} "
+    "SELECT o_orderkey, 'STANDARD', 11, NULL, o_orderdate + INTERVAL 4 DAY, o_custkey + 13 FROM {orders} "
     "WHERE o_orderkey % 10 = 4 AND o_orderstatus = 'O'",
 ])
 
@@ -138,7 +138,7 @@ FROM {{ln}} WHERE n % 4 <> 0 AND {{w}}""", [("1", "1 = 1"), ("2", "id % 6 < 3"),
 SQL["rcv_shipment_lines"] = """
 SELECT id AS shipment_line_id, h AS shipment_header_id, n AS line_num, pk AS item_id,
        sd + INTERVAL 2 DAY + INTERVAL 9 HOUR AS last_update_date,
-       5000 + h % 150 AS last_updated_by
+       500 + CAST(floor(h / 10) AS BIGINT) AS last_updated_by
 FROM {ln} WHERE n % 4 <> 0
 """
 
@@ -222,7 +222,7 @@ FROM {nation}
 """
 
 SQL["users"] = """
-SELECT c_custkey + 5000 AS user_id, c_custkey AS employee_id FROM {customer}
+SELECT c_custkey + 500 AS user_id, c_custkey AS employee_id FROM {customer}
 """
 
 _IG = f"""
@@ -264,7 +264,7 @@ SELECT p_partkey AS wip_entity_id, 'WO-' || CAST(p_partkey AS STRING) AS wip_ent
 """
 
 SQL["projects"] = """
-SELECT n_nationkey AS project_id, 'PRJ-' || n_name AS segment1 FROM {nation}
+SELECT s_suppkey AS project_id, 'PRJ-' || s_name AS segment1 FROM {supplier}
 """
 
 SQL["srn_headers"] = """
@@ -290,7 +290,7 @@ SELECT o_orderkey AS vrn_header_id, 'VRN' || CAST(o_orderkey AS STRING) AS vrn_n
        'verification ' || o_orderpriority AS description,
        o_orderdate + INTERVAL 20 DAY AS creation_date, o_orderdate + INTERVAL 25 DAY AS apprv_reject_date,
        CASE WHEN o_orderkey = 7057 THEN 'APPROVED' WHEN o_orderkey % 5 = 0 THEN 'REJECTED'
-            WHEN o_orderkey % 7 = 1 THEN NULL ELSE 'APPROVED' END AS status,
+            WHEN o_orderkey % 7 = 1 THEN NULL WHEN o_orderkey % 8 = 3 THEN 'IN REVIEW' ELSE 'APPROVED' END AS status,
        CAST(o_totalprice AS DECIMAL(18,6)) AS vrn_verified_amt
 FROM {orders} WHERE o_orderkey % 6 = 1
 UNION ALL
@@ -322,8 +322,8 @@ SELECT o_orderkey AS invoice_id, 'INV-' || CAST(o_orderkey AS STRING) AS invoice
        o_orderdate + INTERVAL 20 DAY AS invoice_date, o_orderdate + INTERVAL 18 DAY AS creation_date,
        CASE o_orderstatus WHEN 'F' THEN 'Y' WHEN 'O' THEN 'N' ELSE 'P' END AS payment_status_flag,
        CASE o_orderkey % 3 WHEN 0 THEN 'Y' WHEN 1 THEN 'N' ELSE NULL END AS approval_ready_flag,
-       CAST(CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN 2.6 ELSE 0.385 END AS DECIMAL(18,9)) AS exchange_rate,
-       CASE WHEN o_orderkey % 4 = 2 THEN 'OMR' ELSE 'USD' END AS invoice_currency_code
+       CAST(CASE o_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN 2.6 ELSE 0.385 END AS DECIMAL(18,9)) AS exchange_rate,
+       CASE WHEN o_custkey % 4 = 2 THEN 'OMR' ELSE 'USD' END AS invoice_currency_code
 FROM {orders}
 """
 
@@ -353,18 +353,18 @@ FROM {{customer}}
 SQL["rfq_headers"] = """
 SELECT o_orderkey AS auction_header_id, 'RFQ' || CAST(o_orderkey AS STRING) AS document_number,
        CASE o_orderstatus WHEN 'F' THEN 'AWARDED' WHEN 'O' THEN 'ACTIVE' ELSE 'CLOSED' END AS auction_status,
-       'REQUISITION' AS auction_origination_code,
+       CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'CATALOG' ELSE 'REQUISITION' END AS auction_origination_code,
        CASE o_orderkey % 8 WHEN 0 THEN 'SEALED_AUCTION' WHEN 2 THEN 'SEALED_BIDDING' WHEN 4 THEN 'OPEN_BIDDING' ELSE NULL END AS bid_visibility_code,
        o_orderdate - INTERVAL 4 DAY AS creation_date, o_orderdate + INTERVAL 6 DAY AS close_bidding_date,
        CAST(o_orderkey % 5 AS STRING) AS int_attribute6, CAST(o_orderkey % 13 AS STRING) AS int_attribute4,
        CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 8 DAY ELSE NULL END AS award_date,
        o_orderdate - INTERVAL 3 DAY AS publish_date,
-       5000 + o_custkey AS created_by
+       500 + o_custkey AS created_by
 FROM {orders} WHERE o_orderkey % 6 IN (0, 2)
 UNION ALL
 SELECT o_orderkey, 'RFQ' || CAST(o_orderkey AS STRING) || '-R', 'AMENDED', 'REQUISITION', 'SEALED_BIDDING',
        CASE WHEN o_orderkey % 24 = 12 THEN NULL ELSE o_orderdate - INTERVAL 2 DAY END,
-       o_orderdate + INTERVAL 7 DAY, '9', '1', NULL, o_orderdate - INTERVAL 1 DAY, 5000 + (o_custkey + 1) % 100
+       o_orderdate + INTERVAL 7 DAY, '9', '1', NULL, o_orderdate - INTERVAL 1 DAY, 500 + o_custkey + 1
 FROM {orders} WHERE o_orderkey % 12 = 0
 """
 

@@ -110,16 +110,20 @@ def conform_table(df: DataFrame, schema: StructType, empty_as_null: bool = False
 
 def load_tables(
     spark: SparkSession,
-    source: str | Mapping[str, DataFrame],
+    source: str | Mapping[str, DataFrame | str],
     names=TABLES,
-    empty_as_null: bool = False,
+    empty_as_null: bool = True,
 ) -> dict[str, DataFrame]:
-    """Load the canonical tables from a Parquet folder or a name→DataFrame map."""
+    """Load the canonical tables: from a Parquet folder, or from a map of name
+    to a DataFrame or a catalog table's name. Empty text is read as NULL, as
+    the source database does; switch it off for exports that already did so,
+    so that string predicates reach the Parquet scan."""
     tables = {}
     for name in names:
         if isinstance(source, str):
             df = spark.read.parquet(f"{source.rstrip('/')}/{name}.parquet")
         else:
             df = source[name]
+            df = spark.table(df) if isinstance(df, str) else df
         tables[name] = conform_table(df, SCHEMAS[name], empty_as_null)
     return tables

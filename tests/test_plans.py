@@ -17,7 +17,7 @@ def parquet_tables(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("p2p"))
     for name, df in golden_tables(spark).items():
         df.write.parquet(f"{root}/{name}.parquet")
-    return load_tables(spark, root)
+    return load_tables(spark, root, empty_as_null=False)
 
 
 def _plan(df) -> str:
