@@ -21,6 +21,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 import uuid
 
@@ -29,6 +30,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from procura.plans.blocks import inspection_pending  # noqa: E402
+from procura.plans.drilldown import drill_document  # noqa: E402
 from procura.plans.reports import DEFAULT_AS_OF, report_blanket, report_standard, report_union  # noqa: E402
 from procura.session import checkpoint_dir, get_spark  # noqa: E402
 from procura.sources.derived import derived_tables  # noqa: E402
@@ -45,6 +47,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = get_spark(cpus, app="procura-bench")
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="procura-bench-"))  # one machine: the folder is shared
     out_dir = f"{checkpoint_dir(spark).rstrip('/')}/procura-bench-p2p-{uuid.uuid4().hex[:8]}"
 
     t0 = time.time()
@@ -61,6 +65,7 @@ def main() -> None:
         "report_union": lambda: report_union(t, as_of),
         "report_union_legacy": lambda: report_union(t, as_of, variant="legacy"),
         "block_inspection_pending": lambda: inspection_pending(t, as_of),
+        "drill_document": lambda: drill_document(t, lambda x: report_union(x, as_of), {"PO Number": "4000030"}),
         "drill_down_union": lambda: report_union(t, as_of).where(F.col("`PO Type (Blanket/Standard)`") == "BLANKET"),
     }
     timings: dict[str, float] = {}

@@ -10,7 +10,7 @@ Sub-packages:
 * ``sources``    table loading and the P2P-shaped tables derived from the
   driver's star-schema data.
 * ``plans``      the report blocks and the three reports.
-* ``streaming``  intentionally empty (the reports are batch only).
+* ``llm``        optional training-data operators; nothing else imports them.
 """
 
 from procura.session import get_spark, checkpoint_dir

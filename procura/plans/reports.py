@@ -18,7 +18,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from procura.functions import concat_code, convert_amount
+from procura.functions import concat_code, convert_amount, typed_null
 from procura.operators import lineage_chain, union_distinct
 from procura.plans.blocks import BLANKET, INSPECTION_LOOKUP, QS_LOOKUP, STANDARD, po_block, po_distribution_keys, pr_block, rfq_block
 from procura.plans.schema import LEGACY_SCHEMA, REPORT_SCHEMA
@@ -189,7 +189,7 @@ def _project(df: DataFrame, kind: str, legacy: bool) -> DataFrame:
             .otherwise(F.col("pd_attribute1"))
     schema = LEGACY_SCHEMA if legacy else REPORT_SCHEMA
     return df.select(*[
-        (c[f.name] if f.name in c else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
+        c[f.name].cast(f.dataType).alias(f.name) if f.name in c else typed_null(f.name, f.dataType) for f in schema.fields
     ])
 
 

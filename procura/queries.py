@@ -44,11 +44,11 @@ AS_OF = DEFAULT_AS_OF
 EXCLUDED_SRNS = (7059, 7056, 7057)
 #: Invented documents, one per kind of drill-down.
 DRILL_DOCUMENTS = {
-    "drill_po_release": {"PO Number": "4000103", "BR Number - Blanket": 5},
-    "drill_po_line": {"PO Number": "4000102", "PO Line": 1},
-    "drill_pr_line": {"PR_Number": "1000102", "PR_Line_No": 1},
-    "drill_invoice": {"Invoice Number": "INV-102"},
-    "drill_distribution": {"DISTRIBUTION_ID": 103111},
+    "drill_po_release": {"PO Number": "4000019", "BR Number - Blanket": 2},
+    "drill_po_line": {"PO Number": "4000030", "PO Line": 5},
+    "drill_pr_line": {"PR_Number": "1000054", "PR_Line_No": 2},
+    "drill_invoice": {"Invoice Number": "INV-90"},
+    "drill_distribution": {"DISTRIBUTION_ID": 115111},
 }
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -6,9 +6,6 @@ caller's session and never changes cluster-level settings.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -35,20 +32,17 @@ def get_spark(cores: int | str = "*", app: str = "procura", shuffle_partitions:
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared folder named by ``spark.checkpoint.dir``.
-
-    The cluster's setting always wins; only when it is unset (local tests)
-    a scratch folder is created for this session.
-    """
+    """The shared folder named by ``spark.checkpoint.dir``; an error if the
+    session has none (an executor's own disk is not shared with the others).
+    Tests and the bench set one for their session."""
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="procura-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    return path

@@ -15,7 +15,7 @@ Key scheme (h = order key, n = line number, id = h*10+n):
 PO header/requisition header/invoice/shipment header = h; PO line,
 requisition line, shipment line = id; line location = id*10+1;
 distributions = id*100+10+k; receipts = id*10+k; person = customer key;
-user = 500 + customer key (so most user ids are some other person's id); position = nation key.
+user = 40 + customer key (so most user ids are some other person's id); position = nation key.
 """
 
 from __future__ import annotations
@@ -138,7 +138,7 @@ FROM {{ln}} WHERE n % 4 <> 0 AND {{w}}""", [("1", "1 = 1"), ("2", "id % 6 < 3"),
 SQL["rcv_shipment_lines"] = """
 SELECT id AS shipment_line_id, h AS shipment_header_id, n AS line_num, pk AS item_id,
        sd + INTERVAL 2 DAY + INTERVAL 9 HOUR AS last_update_date,
-       500 + CAST(floor(h / 10) AS BIGINT) AS last_updated_by
+       40 + CAST(floor(h / 10) AS BIGINT) AS last_updated_by
 FROM {ln} WHERE n % 4 <> 0
 """
 
@@ -222,7 +222,7 @@ FROM {nation}
 """
 
 SQL["users"] = """
-SELECT c_custkey + 500 AS user_id, c_custkey AS employee_id FROM {customer}
+SELECT c_custkey + 40 AS user_id, c_custkey AS employee_id FROM {customer}
 """
 
 _IG = f"""
@@ -359,12 +359,12 @@ SELECT o_orderkey AS auction_header_id, 'RFQ' || CAST(o_orderkey AS STRING) AS d
        CAST(o_orderkey % 5 AS STRING) AS int_attribute6, CAST(o_orderkey % 13 AS STRING) AS int_attribute4,
        CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 8 DAY ELSE NULL END AS award_date,
        o_orderdate - INTERVAL 3 DAY AS publish_date,
-       500 + o_custkey AS created_by
+       40 + o_custkey AS created_by
 FROM {orders} WHERE o_orderkey % 6 IN (0, 2)
 UNION ALL
 SELECT o_orderkey, 'RFQ' || CAST(o_orderkey AS STRING) || '-R', 'AMENDED', 'REQUISITION', 'SEALED_BIDDING',
        CASE WHEN o_orderkey % 24 = 12 THEN NULL ELSE o_orderdate - INTERVAL 2 DAY END,
-       o_orderdate + INTERVAL 7 DAY, '9', '1', NULL, o_orderdate - INTERVAL 1 DAY, 500 + o_custkey + 1
+       o_orderdate + INTERVAL 7 DAY, '9', '1', NULL, o_orderdate - INTERVAL 1 DAY, 40 + o_custkey + 1
 FROM {orders} WHERE o_orderkey % 12 = 0
 """
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -15,8 +16,6 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
-    from procura.session import checkpoint_dir
-
     s = (
         SparkSession.builder.master("local[4]")
         .appName("procura-tests")
@@ -26,10 +25,10 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="procura-tests-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(s)
     yield s
 
 
