@@ -32,6 +32,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from procura.plans.blocks import inspection_pending  # noqa: E402
 from procura.plans.drilldown import drill_document  # noqa: E402
 from procura.plans.reports import DEFAULT_AS_OF, report_blanket, report_standard, report_union  # noqa: E402
+from procura.queries import EXCLUDED_SRNS  # noqa: E402
 from procura.session import checkpoint_dir, get_spark  # noqa: E402
 from procura.sources.derived import derived_tables  # noqa: E402
 from procura.sources.tables import TABLES, load_tables  # noqa: E402
@@ -60,13 +61,13 @@ def main() -> None:
     t = load_tables(spark, out_dir, empty_as_null=False)
     as_of = DEFAULT_AS_OF
     headline = {
-        "report_blanket": lambda: report_blanket(t, as_of),
+        "report_blanket": lambda: report_blanket(t, as_of, excluded_srns=EXCLUDED_SRNS),
         "report_standard": lambda: report_standard(t, as_of),
-        "report_union": lambda: report_union(t, as_of),
-        "report_union_legacy": lambda: report_union(t, as_of, variant="legacy"),
+        "report_union": lambda: report_union(t, as_of, excluded_srns=EXCLUDED_SRNS),
+        "report_union_legacy": lambda: report_union(t, as_of, variant="legacy", excluded_srns=EXCLUDED_SRNS),
         "block_inspection_pending": lambda: inspection_pending(t, as_of),
-        "drill_document": lambda: drill_document(t, lambda x: report_union(x, as_of), {"PO Number": "4000030"}),
-        "drill_down_union": lambda: report_union(t, as_of).where(F.col("`PO Type (Blanket/Standard)`") == "BLANKET"),
+        "drill_document": lambda: drill_document(t, lambda x: report_union(x, as_of, excluded_srns=EXCLUDED_SRNS), {"PO Number": "4000030"}),
+        "drill_down_union": lambda: report_union(t, as_of, excluded_srns=EXCLUDED_SRNS).where(F.col("`PO Type (Blanket/Standard)`") == "BLANKET"),
     }
     timings: dict[str, float] = {}
     fastest: dict[str, float] = {}
