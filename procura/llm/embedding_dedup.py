@@ -1,17 +1,21 @@
 """Embedding near-duplicates by sorted projection passes.
 
-In every pass the vectors are ordered by a key of concatenated random
-hyperplane signs (ties by a hash of the vector's id) and each one is compared
-with its next neighbours in that order; pairs found in any pass whose cosine,
-in double precision, reaches the threshold are linked, and components follow.
-
-The order is made by range partitioning and a sort inside the partitions; the
-first rows of a partition are also compared with the last rows of the one
-before. Equal vectors are collapsed to one beforehand, so a vector with very
-many copies is one row; copies count as links to each other. The number of
-passes follows from the number of vectors: the sign bits that two neighbours
-have to share grow with its logarithm, and the passes keep the chance of
-finding a pair at the threshold at ``RECALL`` or more.
+In every pass a vector's key is a row of random hyperplane signs, and all
+vectors of equal key are compared with each other; pairs whose cosine, in
+double precision, reaches the threshold are linked, and components follow.
+
+Keys have as many signs as leave about ``WINDOW`` vectors a key if the vectors
+are spread evenly. Where they are not, a run of equal keys is longer: it is cut
+into chunks by a hash, and every two chunks are compared in a task of their
+own, so that no pair of equal keys is left out. The number of passes follows
+from the signs alone: a pair at the threshold shares a key in some pass with
+chance ``RECALL`` or more, wherever it lies and however dense its surroundings
+are. A pair counts only in the first pass in which it shares a key, so a task
+returns each row's number of links and a spanning forest of them, which is
+linear in its rows where the links grow with the square of a group.
+
+Equal vectors are collapsed to one beforehand, so a vector with very many
+copies is one row; copies count as links to each other.
 
 Defined results: vectors that are null, empty, zero, or hold null or
 non-finite components link with nothing, and vectors of different length do
@@ -31,26 +35,38 @@ from pyspark.sql import functions as F
 
 from procura.llm.common import least_reachable, stored
 
-#: Sign bits of a sort key, neighbours compared on either side, and the chance to find a pair at the threshold.
-KEY_BITS = 48
-WINDOW = 256
-RECALL = 0.98
+#: Vectors of a key if they are spread evenly, and the chance to find a pair at the threshold.
+WINDOW = 1024
+RECALL = 0.999
+#: With more vectors than these passes allow signs for, a key has more vectors; nothing is left out.
 MAX_PASSES = 64
+#: A run of n equal keys over the window is cut into sqrt(n / SPREAD) chunks, and into more where one would be over CHUNK rows.
+SPREAD, CHUNK = 128, 4096
+#: Rows of a chunk whose cosines are held at a time.
+STRIP = 512
 
 
-def passes_for(rows: int, threshold: float, window: int = WINDOW, recall: float = RECALL) -> int:
-    """Passes after which a pair at the threshold was within the window with chance ``recall``.
-
-    Neighbours within the window share about log2(rows / window) leading
-    signs, each with chance 1 - angle / pi.
-    """
-    bits = max(1.0, math.log2(max(2.0, rows / window)))
+def _passes(bits: int, threshold: float, recall: float) -> int:
+    """Passes after which a pair at the threshold shared all signs of a key with chance ``recall``: each with chance 1 - angle / pi."""
     found = (1 - math.acos(threshold) / math.pi) ** bits
-    return min(MAX_PASSES, max(2, math.ceil(math.log(1 - recall) / math.log(1 - found))))
+    return 1 if found >= 1 else max(2, math.ceil(math.log(1 - recall) / math.log(1 - found)))
+
+
+def bits_for(rows: int, threshold: float, window: int = WINDOW, recall: float = RECALL) -> int:
+    """Signs of a key: log2(rows / window), or as many as ``MAX_PASSES`` allow."""
+    bits = max(0, round(math.log2(max(1.0, rows / window))))
+    while bits and _passes(bits, threshold, recall) > MAX_PASSES:
+        bits -= 1
+    return bits
+
+
+def passes_for(rows: int, threshold: float, window: int = WINDOW, recall: float = RECALL) -> int:
+    """Passes after which a pair at the threshold shared a key with chance ``recall``."""
+    return _passes(bits_for(rows, threshold, window, recall), threshold, recall)
 
 
-def _planes(dim: int, run: int) -> np.ndarray:
-    return np.random.default_rng([dim, run]).standard_normal((dim, KEY_BITS))
+def _planes(dim: int, runs: int, bits: int) -> np.ndarray:
+    return np.random.default_rng([dim, bits]).standard_normal((runs * bits, dim)).T
 
 
 def _can_link(batch: pa.RecordBatch) -> list[np.ndarray | None]:
@@ -77,127 +93,107 @@ def _unit(raw: list[bytes]) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _keyed(run: int):
-    """(dim, key, tie, group, vec): sort keys of one pass."""
+def _keyed(runs: int, bits: int):
+    """(dim, keys, grp, copies, vec): each row's keys of all passes."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = (1 << np.arange(KEY_BITS - 1, -1, -1)).astype(np.int64)
+        place = (1 << np.arange(bits)).astype(np.int64)
         for batch in batches:
-            groups, raw = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            sizes = np.array([len(r) // 8 for r in raw])
+            sizes = np.array([len(r) // 8 for r in batch.column(2).to_pylist()], np.int64)
             for dim in np.unique(sizes):
-                at = np.flatnonzero(sizes == dim)
-                vectors = [raw[i] for i in at]
-                keys = (_unit(vectors) @ _planes(int(dim), run) > 0) @ place
-                own = [groups[i] for i in at]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), dim, np.int32)), pa.array(keys), pa.array(own, pa.int64()), pa.array(vectors, pa.binary())], names=["dim", "key", "grp", "vec"])
+                part = batch.take(pa.array(np.flatnonzero(sizes == dim)))
+                signs = _unit(part.column(2).to_pylist()) @ _planes(int(dim), runs, bits) > 0
+                keys = (signs.reshape(part.num_rows, runs, bits) @ place).ravel()
+                at = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * runs)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, dim, np.int32)), pa.ListArray.from_arrays(at, pa.array(keys)), *part.columns], names=["dim", "keys", "grp", "copies", "vec"])
 
     return apply
 
 
-_WINDOWED = "a long, b long, side int, place int, dim int, grp long, vec binary"
-
-
-def _close(dims: list[int], groups: list[int], raw: list[bytes], start: int, window: int, threshold: float) -> tuple[list[int], list[int]]:
-    """Pairs (i, j) of rows in order, j within the window after i and j >= start, whose cosine reaches the threshold."""
+def _spanning(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, columns) of pairs that connect what the pairs of ``hit`` connect: all of them, or a forest if they are many."""
+    if np.count_nonzero(hit) <= 4 * sum(hit.shape):
+        return np.nonzero(hit)
     a, b = [], []
-    dims_, ids = np.array(dims), np.array(groups)
-    for dim in np.unique(dims_):
-        at = np.flatnonzero(dims_ == dim)
-        x, own, n = _unit([raw[i] for i in at]), ids[at], len(at)
-        for step in range(1, min(window, n - 1) + 1):
-            low = max(0, int(np.searchsorted(at, start)) - step)
-            hit = low + np.flatnonzero(np.einsum("ij,ij->i", x[low : n - step], x[low + step :]) >= threshold)
-            a += own[hit].tolist()
-            b += own[hit + step].tolist()
-    return a, b
-
-
-def _windows(window: int, threshold: float):
-    """Links within a sorted partition; its first and last rows go on as ``side`` -1 and 1."""
-
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        place = TaskContext.get().partitionId()
-        head: list[tuple] = []
-        tail: list[tuple] = []
-        for batch in batches:
-            rows = list(zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("dim", "grp", "vec")), strict=True))
-            head += rows[: max(0, window - len(head))]
-            both = tail + rows
-            a, b = _close(*map(list, zip(*both, strict=True)), len(tail), window, threshold) if both else ([], [])
-            tail = both[-window:]
-            yield _rows(a, b, [], 0, place)
-        yield _rows([], [], head, -1, place)
-        yield _rows([], [], tail, 1, place)
-
-    return apply
-
-
-def _rows(a: list[int], b: list[int], edge: list[tuple], side: int, place: int) -> pa.RecordBatch:
-    n, m = len(a), len(edge)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(a + [None] * m, pa.int64()),
-            pa.array(b + [None] * m, pa.int64()),
-            pa.array([0] * n + [side] * m, pa.int32()),
-            pa.array([place] * (n + m), pa.int32()),
-            pa.array([None] * n + [e[0] for e in edge], pa.int32()),
-            pa.array([None] * n + [e[1] for e in edge], pa.int64()),
-            pa.array([None] * n + [e[2] for e in edge], pa.binary()),
-        ],
-        names=["a", "b", "side", "place", "dim", "grp", "vec"],
-    )
-
-
-def _across(window: int, threshold: float):
-    """Links between a partition's last rows and the first rows of those after it: about two windows of rows a group."""
+    rows, columns = hit.any(axis=1), np.ones(hit.shape[1], bool)
+    for i in np.flatnonzero(rows):
+        front = np.array([i])[rows[i : i + 1]]
+        rows[i] = False
+        while len(front):
+            out = hit[front] & columns
+            new = np.flatnonzero(out.any(axis=0))
+            columns[new] = False
+            a.append(front[out[:, new].argmax(axis=0)] if len(new) else new)
+            b.append(new)
+            back = hit[:, new] & rows[:, None]
+            front = np.flatnonzero(back.any(axis=1))
+            rows[front] = False
+            a.append(front)
+            b.append(new[back[front].argmax(axis=1)] if len(front) else front)
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _compared(run: int, threshold: float):
+    """Rows' numbers of links (grp, others) and links that connect them (grp, b) of one chunk, or of one with another."""
 
     def apply(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("ahead", "place", "ord", "dim", "grp", "vec")), strict=True), key=lambda r: r[:3])
-        before = sum(not r[0] for r in rows)
-        if not 0 < before < len(rows):
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        a, b = _close([r[3] for r in rows], [r[4] for r in rows], [r[5] for r in rows], before, window, threshold)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        side = table.column("side").to_numpy()
+        same = table.column("lo")[0].as_py() == table.column("hi")[0].as_py()
+        ids, copies = table.column("grp").to_numpy(), table.column("copies").to_numpy().astype(float)
+        keys = table.column("keys").combine_chunks().flatten().to_numpy().reshape(len(side), -1)
+        left, right = (np.arange(len(side)),) * 2 if same else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+        hit = np.zeros((len(left), len(right)), bool)
+        if hit.size:
+            x = _unit(table.column("vec").to_pylist())
+            for i in range(0, len(left), STRIP):
+                part = x[left[i : i + STRIP]] @ x[right].T >= threshold
+                if part.any():
+                    for q in range(run):  # counted in an earlier pass
+                        part &= keys[left[i : i + STRIP], q][:, None] != keys[right, q]
+                hit[i : i + STRIP] = part
+            if same:
+                hit = np.triu(hit, 1)
+                hit |= hit.T
+        others = np.zeros(len(side))
+        for i in range(0, len(left), STRIP):
+            part = hit[i : i + STRIP].astype(float)
+            others[left[i : i + STRIP]] += part @ copies[right]
+            if not same:
+                others[right] += copies[left[i : i + STRIP]] @ part
+        some = np.flatnonzero(others)
+        a, b = _spanning(hit)
+        n, m = len(some), len(a)
+        return pa.table(
+            {
+                "grp": pa.array(np.concatenate([ids[some], ids[left][a]])),
+                "others": pa.array(np.concatenate([others[some].astype(np.int64), np.zeros(m, np.int64)])),
+                "b": pa.array(np.concatenate([np.zeros(n, np.int64), ids[right][b]]), mask=np.arange(n + m) < n),
+            }
+        )
 
     return apply
 
 
-def _reach(heads: dict[int, int], window: int) -> list[tuple[int, int]]:
-    """(partition, earlier partition) that have rows within a window of each other; small partitions reach over several."""
-    out, order = [], sorted(heads)
-    for i, place in enumerate(order):
-        between = 0
-        for earlier in reversed(order[:i]):
-            if between >= window:
-                break
-            out.append((place, earlier))
-            between += heads[earlier]
-    return out
-
-
-def near_links(vectors: DataFrame, threshold: float, window: int = WINDOW, passes: int | None = None) -> DataFrame:
-    """(a, b), a < b: distinct linked pairs of the rows of ``vectors`` (grp long, vec binary of doubles)."""
-    runs = passes or passes_for(vectors.count(), threshold, window)
+def near_links(vectors: DataFrame, threshold: float, window: int = WINDOW, passes: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Of the rows of ``vectors`` (grp long, copies long, vec binary of doubles): (grp, others) copies linked with each, and (a, b) links that connect them."""
+    rows = vectors.count()
+    bits = bits_for(rows, threshold, window)
+    runs = (passes or passes_for(rows, threshold, window)) if bits else 1  # without signs all have one key
+    keyed = stored(vectors.select("grp", "copies", "vec").mapInArrow(_keyed(runs, bits), "dim int, keys array<long>, grp long, copies long, vec binary"), "embedding-keys")
+    sizes = keyed.select("dim", F.posexplode("keys").alias("run", "key")).groupBy("run", "dim", "key").count()
+    chunks = F.ceil(F.greatest(F.sqrt(F.col("count") / SPREAD), F.col("count") / CHUNK))
+    long_runs = stored(sizes.where(F.col("count") > window).select("run", "dim", "key", chunks.alias("chunks")), "embedding-runs")
     found = None
     for run in range(runs):
-        keyed = vectors.mapInArrow(_keyed(run), "dim int, key long, grp long, vec binary").withColumn("tie", F.xxhash64("grp", F.lit(run)))
-        ordered = keyed.repartitionByRange("dim", "key", "tie").sortWithinPartitions("dim", "key", "tie").select("dim", "grp", "vec")
-        seen = ordered.mapInArrow(_windows(window, threshold), _WINDOWED).withColumn("ord", F.monotonically_increasing_id())
-        seen = stored(seen, "embedding-pass")
-        inner = seen.where("side = 0").select("a", "b")
-        edge = seen.where("side != 0").select("place", "side", "ord", "dim", "grp", "vec")
-        # a row a partition, not of the data: how many first rows each partition has given
-        heads = {r[0]: r[1] for r in edge.where("side < 0").groupBy("place").count().collect()}
-        reach = vectors.sparkSession.createDataFrame(_reach(heads, window), "place int, at int")
-        tails = edge.where("side > 0").select(F.col("place").alias("at"), F.lit(False).alias("ahead"), "place", "ord", "dim", "grp", "vec")
-        ahead = edge.where("side < 0").join(F.broadcast(reach), "place").select("at", F.lit(True).alias("ahead"), "place", "ord", "dim", "grp", "vec")
-        outer = tails.unionByName(ahead).groupBy("at").applyInArrow(_across(window, threshold), "a long, b long")
-        pairs = inner.unionByName(outer)
-        found = pairs if found is None else found.unionByName(pairs)
-    return stored(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct(), "embedding-links")
+        one = keyed.withColumn("key", F.col("keys")[run]).join(long_runs.where(F.col("run") == run).drop("run"), ["dim", "key"], "left")
+        one = one.withColumn("chunks", F.coalesce("chunks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("grp", F.lit(run)), "chunks"))
+        one = one.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+        one = one.select("dim", "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).cast("int").alias("side"), "grp", "copies", "keys", "vec")
+        seen = stored(one.groupBy("dim", "key", "lo", "hi").applyInArrow(_compared(run, threshold), "grp long, others long, b long"), "embedding-pass")
+        found = seen if found is None else found.unionByName(seen)
+    degree = found.where("b is null").groupBy("grp").agg(F.sum("others").alias("others"))
+    links = found.where("b is not null").select(F.least("grp", "b").alias("a"), F.greatest("grp", "b").alias("b"))
+    return degree, stored(links.distinct(), "embedding-links")
 
 
 def near_duplicates(df: DataFrame, key: str, vector: str, threshold: float, window: int = WINDOW, passes: int | None = None) -> DataFrame:
@@ -207,10 +203,7 @@ def near_duplicates(df: DataFrame, key: str, vector: str, threshold: float, wind
     # equal vectors form one group; its number is fixed by the stored table
     groups = usable.groupBy("vec").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("least"))
     groups = stored(groups.withColumn("grp", F.monotonically_increasing_id()), "embedding-groups")
-    links = near_links(groups.select("grp", "vec"), threshold, window, passes)
-    size = groups.select("grp", "copies")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = both.join(size.withColumnRenamed("grp", "b"), "b").groupBy(F.col("a").alias("grp")).agg(F.sum("copies").alias("others"))
+    degree, links = near_links(groups.select("grp", "copies", "vec"), threshold, window, passes)
     member = least_reachable(links, "embedding-components").withColumnRenamed("node", "grp")
     told = groups.join(degree, "grp", "left").join(member, "grp", "left").withColumn("component", F.coalesce("component", "grp"))
     least = told.groupBy("component").agg(F.min("least").alias("component_id"))

@@ -146,6 +146,38 @@ def test_embedding_nulls_repeats_and_empty_table(spark):
     assert embedding_dedup.near_duplicates(df.limit(0), "vec_id", "embedding", 0.95).count() == 0
 
 
+def test_embedding_hot_third_keeps_its_links(spark):
+    rng = np.random.default_rng(6)
+    far = rng.standard_normal((600, 32))
+    linked = rng.standard_normal(32) + 0.12 * rng.standard_normal((300, 32))
+    cone = rng.standard_normal(32) + 0.4 * rng.standard_normal((300, 32))
+    single = cone[:40] + 0.28 * rng.standard_normal((40, 32))
+    x = np.concatenate([far, linked, cone, single])
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(df, "vec_id", "embedding", 0.95, window=32).collect()}
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    close = x @ x.T >= 0.95
+    want = close.sum(axis=1) - 1
+    for part in (slice(600, 900), slice(900, 1240)):
+        assert 0.99 * want[part].sum() <= sum(got[i] for i in range(part.start, part.stop)) <= want[part].sum()
+    assert want[600:900].sum() > 80_000 and want[900:].sum() > 20 and all(got[i] <= want[i] for i in got)
+
+
+def test_embedding_forest_connects_what_the_links_connect():
+    rng = np.random.default_rng(7)
+    for dense in (np.ones((90, 70), bool), np.kron(np.eye(3, dtype=bool), np.ones((30, 40), bool)), rng.random((60, 60)) < 0.2):
+        a, b = embedding_dedup._spanning(dense)
+        assert dense[a, b].all() and len(a) < sum(dense.shape)
+        kept = np.zeros(dense.shape, bool)
+        kept[a, b] = True
+        for _ in range(12):  # reached in an even number of steps
+            kept = (kept @ kept.T @ kept) | kept
+        full = dense
+        for _ in range(12):
+            full = (full @ full.T @ full) | full
+        assert (kept == full).all()
+
+
 def test_more_vectors_take_more_passes():
     assert embedding_dedup.passes_for(10**9, 0.95) > embedding_dedup.passes_for(10**5, 0.95) >= 2
 
