@@ -10,7 +10,8 @@ votes. The neighbours are the evidence.
 
 Terms are lower-case words and their first four and five bytes (inflected
 languages share stems); those that say something about the class in the
-sample are the vocabulary, counts and weights cover the whole text.
+sample (a G-test, which holds for terms seen in one class only) are the
+vocabulary, counts and weights cover the whole text.
 
 Defined results: a null or empty text, and any text without a term of the
 vocabulary, has no neighbour and gets the calibrated share of toxic examples
@@ -37,8 +38,8 @@ EXAMPLES_PER_CLASS = 4000
 NEIGHBOURS = 16
 #: Examples per block of the index.
 BLOCK = 64
-#: A term enters the vocabulary if it is in so many examples, with log-odds so many standard errors from zero,
-#: and so many times likelier in one class than in the other.
+#: A term enters the vocabulary if it is in so many examples, with a G-test of term and class of so many standard
+#: errors, squared, and so many times likelier in one class than in the other.
 MIN_EXAMPLES, MIN_Z, MIN_LIFT = 4, 4.5, 3.0
 #: Bytes of the word starts that are terms as well.
 STEMS = (4, 5)
@@ -195,10 +196,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: Column, label: str,
     table = counts.groupBy("term").agg(*[F.sum(F.when(F.col("label") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)])
     table = table.where(F.col("n0") + F.col("n1") >= MIN_EXAMPLES)
     p0, p1 = [(F.col(f"n{c}") + 0.5) / (n[c] + 1.0) for c in (0, 1)]
-    odds = F.log(p1 / (1.0001 - p1)) - F.log(p0 / (1.0001 - p0))
-    error = F.sqrt(sum((1 / (F.col(f"n{c}") + 0.5) + 1 / (n[c] - F.col(f"n{c}") + 0.5) for c in (0, 1)), F.lit(0.0)))
     lift = F.greatest(p1 / p0, p0 / p1)
-    chosen = table.where((F.abs(odds) >= MIN_Z * error) & (lift >= MIN_LIFT)).select("term", (F.col("n0") + F.col("n1")).alias("df"))
+    chosen = table.where((_g_test(F.col("n0"), F.col("n1"), *n) >= MIN_Z**2) & (lift >= MIN_LIFT)).select("term", (F.col("n0") + F.col("n1")).alias("df"))
     # bounded by the sample: the terms of at most 2 x EXAMPLES_PER_CLASS texts that pass the tests above
     terms = sorted((int(r[0]) & _ALL, r[1]) for r in chosen.collect())
     model = Model(np.array([t for t, _ in terms], np.uint64), np.log1p(sum(n) / np.array([d for _, d in terms], float)))
@@ -213,6 +212,16 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: Column, label: str,
     return model
 
 
+def _g_test(a: Column, b: Column, all_a: int, all_b: int) -> Column:
+    """G of a term in ``a`` of ``all_a`` texts of one class and ``b`` of ``all_b`` of the other; a count of 0 adds nothing."""
+
+    def x(c: Column) -> Column:
+        return F.when(c > 0, c * F.log(c)).otherwise(0.0)
+
+    one, other = F.lit(all_a), F.lit(all_b)
+    return 2 * (x(a) + x(b) + x(one - a) + x(other - b) + x(one + other) - x(a + b) - x(one + other - a - b) - x(one) - x(other))
+
+
 _ALL = (1 << 64) - 1
 
 
