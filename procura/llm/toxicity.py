@@ -181,15 +181,17 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: Column, label: str,
     """Fit on at most ``EXAMPLES_PER_CLASS`` labelled texts a class, those of least key hash.
 
     The sample's keys are a top-n per class, so the join that fetches the
-    texts has a side of proven size (broadcast). A key labelled twice is toxic
-    if any of its labels is. The class balance comes from all eligible labels.
+    texts has a side of proven size (broadcast); a key of several texts gives
+    one. A key labelled twice is toxic if any of its labels is. The class balance comes from all eligible labels.
     """
     known = labels.where(eligible & F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(label).alias("label"))
     totals = {int(r[0]): r[1] for r in known.groupBy("label").count().collect()}
     parts = [known.where(F.col("label") == c).orderBy(F.xxhash64("id"), "id").limit(EXAMPLES_PER_CLASS) for c in (0, 1)]
     sample = F.broadcast(parts[0].unionByName(parts[1]))
     rows = docs.select(F.col(key).alias("id"), F.coalesce(text, F.lit("")).alias("text")).join(sample, "id").select("id", F.col("label").cast("int").alias("label"), "text")
-    rows = stored(rows.dropDuplicates(["id", "text"]), "toxicity-examples")
+    # one text a key, that of least hash: partial minima, however many rows share the key
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))
+    rows = stored(rows.groupBy("id", "label").agg(one.alias("one")).select("id", "label", "one.text"), "toxicity-examples")
     per_class = {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
     n = [per_class.get(c, 0) for c in (0, 1)]
     counts = rows.select("label", "text").mapInArrow(_document_counts, "term long, label int, n long")

@@ -259,6 +259,13 @@ def test_toxicity_keeps_words_of_one_class_only(spark):
     assert all(got[i] >= 0.7 for i in range(1, 120, 3))
 
 
+def test_toxicity_sample_holds_one_text_a_key(spark):
+    texts, labels = toxic_corpus()
+    docs = frame(spark, texts).unionByName(frame(spark, [f"{texts[0]} vile only{i}" for i in range(300)], [labels[0][0]] * 300))
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), "doc_id", F.col("text"), "toxic", F.lit(True))
+    assert len(model.ids) == len(set(model.ids.tolist()))
+
+
 def test_toxicity_edges(spark):
     docs = frame(spark, [None, "", "vile nasty", "  "], [None, 1, 2, 2]).withColumn("score", F.lit("clash"))
     empty = spark.createDataFrame([], "doc_id long, toxic int")
