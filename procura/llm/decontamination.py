@@ -10,6 +10,12 @@ most two wrong bits in some block). Candidates are verified exactly: of the
 item's five-word shingles, weighted by how rare they are among the items, the
 passage of the item's size must hold a weight share of ``SIMILARITY``.
 
+A copy may be edited where the windows line up, or by more bits than the
+radius, so candidates also come from shingles: a passage that holds the share
+has one of the item's rarest shingles that together weigh more than the rest
+of the share, and every passage of the item's size around such a shingle is
+verified. No passage that meets the share is left out.
+
 Words are runs of letters, digits and non-ASCII characters, ASCII case folded.
 The items are the stated query set: they are taken in blocks of at most
 ``ITEMS_PER_BLOCK``, whose index is broadcast, and each block passes over the
@@ -35,6 +41,8 @@ from procura.llm.textops import letter_words, mix, shingles_of, slices, words_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
+#: What sums of weights may be off by: a share of just ``SIMILARITY`` matches.
+ROUNDING = 1e-9
 BLOCK_BITS, BLOCKS = 16, 4
 BITS_OFF = 2
 RADIUS = BLOCKS * (BITS_OFF + 1) - 1
@@ -105,6 +113,7 @@ class ItemIndex:
         every, holders = np.unique(np.concatenate([u for u, _ in own]) if own else np.zeros(0, np.uint64), return_counts=True)
         #: Per item: its distinct shingles, how often it has each, and their weights.
         self.shingles = [(u, c, np.log1p(len(items) / holders[np.searchsorted(every, u)])) for u, c in own]
+        self._rarest(shingles, at)
         groups: dict[int, list[int]] = {}
         for i, n in enumerate(self.sizes):
             if n:
@@ -115,6 +124,45 @@ class ItemIndex:
             step = int(min(self.sizes[i] for i in members)) - size + 1
             self.groups.append((size, step, *self._index(words, first, members, size, step)))
 
+    def _rarest(self, shingles: np.ndarray, at: np.ndarray) -> None:
+        """Sorted shingles, one of which is in every passage that matches, with their items and offsets in them."""
+        rare, item, offset = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i, (own, counts, weight) in enumerate(self.shingles):
+            order = np.argsort(-weight, kind="stable")
+            held = np.cumsum((counts * weight)[order])
+            some = order[: np.searchsorted(held, (1 - SIMILARITY + 2 * ROUNDING) * held[-1], side="right") + 1] if len(own) else order
+            rare.append(own[some])
+            item.append(np.full(len(some), i))
+            offset.append(np.unique(shingles[at[i] : at[i + 1]], return_index=True)[1][some])
+        rare, item, offset = np.concatenate(rare), np.concatenate(item), np.concatenate(offset)
+        order = np.argsort(rare, kind="stable")
+        self.rare, self.rare_item, self.rare_offset = rare[order], item[order], offset[order]
+
+    def _around(self, shingles: np.ndarray, at: np.ndarray, there: np.ndarray, n_words: np.ndarray) -> Iterator[tuple[int, int, float, int]]:
+        """(text, item, best similarity, first such start) over the passages of the item's size that hold one of its rarest shingles.
+
+        ``there`` are the places of shingles that items have.
+        """
+        low, high = (np.searchsorted(self.rare, shingles[there], side=x) for x in ("left", "right"))
+        n = high - low
+        place = np.repeat(there, n)
+        entry = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        text = np.searchsorted(at, place, side="right") - 1
+        found: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for t, i, p, o in zip(text.tolist(), self.rare_item[entry].tolist(), (place - at[text]).tolist(), self.rare_offset[entry].tolist(), strict=True):
+            found.setdefault((t, i), []).append((p, o))
+        for (t, i), hits in found.items():
+            size, last = int(self.sizes[i]), max(0, int(n_words[t] - self.sizes[i]))
+
+            def best(starts, t=t, i=i, size=size):
+                scored = [(self.similarity(i, shingles[at[t] + a : min(at[t] + a + max(size - SHINGLE + 1, 1), at[t + 1])]), -a) for a in starts]
+                return max(scored)
+
+            top = best({min(max(p - o, 0), last) for p, o in hits})
+            if top[0] < 1:  # a copy that is whole lines up with its shingles
+                top = best({a for p, _ in hits for a in range(max(0, p - max(size - SHINGLE, 0)), min(p, last) + 1)})
+            yield t, i, top[0], -top[1]
+
     def _index(self, words: np.ndarray, first: np.ndarray, members: list[int], size: int, step: int):
         """(fingerprints, item, offset, per block: bucket starts and entries) of the items' windows."""
         prints, item, offset = [], [], []
@@ -150,7 +198,11 @@ class ItemIndex:
         place = np.minimum(np.searchsorted(self.every, shingles), max(len(self.every) - 1, 0))
         known = np.zeros(len(shingles) + 1, np.int64)
         if len(self.every):
-            np.cumsum(self.every[place] == shingles, out=known[1:])
+            same = self.every[place] == shingles
+            np.cumsum(same, out=known[1:])
+            for t, item, score, word in self._around(shingles, at, np.flatnonzero(same), np.diff(first)):
+                if score >= SIMILARITY - ROUNDING:
+                    best[t, item] = score, -word
         for text, start, i, offset in self._candidates(words, first):
             a = np.maximum(first[text], start - offset)
             b = np.minimum(first[text + 1], start - offset + self.sizes[i])
@@ -160,7 +212,7 @@ class ItemIndex:
             some = np.flatnonzero(known[np.maximum(high, low)] > known[low])
             for t, item, x, y, word in set(zip(text[some].tolist(), i[some].tolist(), low[some].tolist(), high[some].tolist(), (a - first[text])[some].tolist(), strict=True)):
                 score = self.similarity(item, shingles[x:y])
-                if score >= SIMILARITY and (score, -word) > best.get((t, item), (0.0, 0)):
+                if score >= SIMILARITY - ROUNDING and (score, -word) > best.get((t, item), (0.0, 0)):
                     best[t, item] = score, -word
         return [(t, i, s, -w) for (t, i), (s, w) in sorted(best.items())]
 

@@ -143,6 +143,27 @@ def test_decontamination_equals_brute_force(spark):
     assert {r[0] for r in clean.select("doc_id").collect()} == set(range(len(texts))) - {d for d, _ in want}
 
 
+def test_decontamination_finds_copies_edited_anywhere():
+    rnd = random.Random(8)
+    items, texts, want = [], [], []
+    for i in range(120):
+        n = rnd.randint(16, 59)
+        item = [f"i{i}w{k}" for k in range(n)]
+        cut = int(0.2 * (n - 4))  # shingles that may be lost
+        where = (0, n // 2, n)[i % 3]
+        run = cut if where in (0, n) else max(0, cut - 4)  # inside, a run of k words costs k + 4 shingles
+        copy = list(item)
+        for k in range(where if where < n else n - run, min(n, (where if where < n else n - run) + run)):
+            copy[k] = f"x{k}"
+        lead = [f"t{rnd.randrange(999)}" for _ in range(rnd.randint(0, 90))]
+        items.append((i, " ".join(item)))
+        texts.append(" ".join([*lead, *copy, "and", "then", "on"]))
+        want.append((i, i))
+    index = decontamination.ItemIndex(items)
+    got = index.matches(*words_of(pa.array(texts), letter_words))
+    assert [(t, i) for t, i, *_ in got] == want and all(s >= 0.8 - 1e-9 for _, _, s, _ in got)
+
+
 def test_multi_index_finds_every_fingerprint_within_the_radius():
     rnd = np.random.default_rng(1)
     prints = rnd.integers(0, 1 << 63, 40).astype(np.uint64)
