@@ -271,10 +271,10 @@ def test_block_max_search_is_exact(spark):
 def test_toxicity_keeps_words_of_one_class_only(spark):
     rnd = random.Random(5)
     plain = [f"p{i}" for i in range(300)]
-    texts = [" ".join(rnd.choices(plain, k=30)) + (f" vile{i // 12}" if i < 120 else "") for i in range(600)]
+    texts = [" ".join(rnd.choices(plain, k=30)) + (f" z{i // 12}" if i < 120 else "") for i in range(600)]
     labelled = spark.createDataFrame([(i, int(i < 120)) for i in range(600)], "doc_id long, toxic int")
     model = toxicity.fit(frame(spark, texts), labelled, "doc_id", F.col("text"), "toxic", F.col("doc_id") % 3 != 1)
-    marks = model.vectors(pa.array([f"vile{k}" for k in range(10)]))  # each in 8 toxic examples and no clean one
+    marks = model.vectors(pa.array([f"z{k}" for k in range(10)]))  # each in 8 toxic examples and no clean one
     assert all(len(t) for t, _ in marks)
     got = {r["doc_id"]: r["score"] for r in toxicity.score(frame(spark, texts), F.col("text"), model).collect()}
     assert all(got[i] >= 0.7 for i in range(1, 120, 3))
