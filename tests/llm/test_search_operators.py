@@ -239,12 +239,16 @@ def variants_of(spark, rows, one_in=None, schema="doc_id long, text string"):
     return set(got)
 
 
-@pytest.mark.parametrize("letters, seed", [("ab", 1), ("aé×", 2)])
+@pytest.mark.parametrize("letters, seed", [("ab", 1), ("aé×c", 2)])
 def test_variants_equal_brute_force(spark, letters, seed):
     rnd = random.Random(seed)
-    vocabulary = sorted({"".join(rnd.choices(letters, k=rnd.randint(5, 9))) for _ in range(150)})
-    weights = [5 ** rnd.randint(0, 4) for _ in vocabulary]
-    rows = [(i, " ".join(rnd.choices(vocabulary, weights, k=60))) for i in range(150)]
+    words = []
+    for times in (180, 30, 5, 6):  # words, variants of words and variants of these
+        level = {"".join(rnd.choices(letters, k=rnd.randint(5, 9))) for _ in range(12)}
+        level |= {w[:i] + rnd.choice(letters) + w[i + rnd.randint(0, 1) :] for w in set(words) for i in [rnd.randrange(len(w))]}
+        words += [w for w in sorted(level) for _ in range(times)]
+    rnd.shuffle(words)
+    rows = [(i, " ".join(words[i::150])) for i in range(150)]
     want = brute_variants(brute_words(rows, 13), 5)
     assert variants_of(spark, rows, 13) == want
     assert sum(r[1] is not None for r in want) > 5 and any(r[2] not in (r[0], r[1]) for r in want)
