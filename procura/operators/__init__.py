@@ -8,6 +8,7 @@ from procura.operators.joins import (
     dated_lookup,
     full_outer,
     keyed_join,
+    keyed_join_named,
     left_join_splittable,
     lineage_chain,
     scalar_lookup,
@@ -19,7 +20,7 @@ from procura.operators.windows import latest_per_key
 
 __all__ = [
     "anti_exists", "child_sum", "conform", "dated_join", "dated_lookup", "drill", "first_event",
-    "full_outer", "keyed_join", "left_join_splittable", "last_action_rows", "last_event", "latest_per_key", "lineage_chain",
+    "full_outer", "keyed_join", "keyed_join_named", "left_join_splittable", "last_action_rows", "last_event", "latest_per_key", "lineage_chain",
     "max_by_key", "ordered_listagg", "ordered_listagg_expr", "preview", "scalar_lookup", "semi_in",
     "union_distinct",
 ]

@@ -113,6 +113,57 @@ def keyed_join(
     return left.join(right, cond, how)
 
 
+def keyed_join_named(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    left_name: str,
+    right_name: str,
+    how: str = "left",
+) -> DataFrame:
+    """Join on ``left_key = right_key and (left_name = right_name or left_name
+    is NULL)`` as one equi-join, without a residual ``OR``.
+
+    The two cases are disjoint: a left row that names a right row meets it
+    under (key, name), one that names none meets every right row of its key
+    under (key, NULL). Each right row is put down under both (a row without a
+    name under NULL only), so only matching pairs are ever compared: n left
+    rows that name one of n right rows each of one key cost n, not n * n.
+    """
+    name = _uid("name")
+    joined = keyed_join(left, by_name_and_all(right, right_name, name), left_key, right_key, how, extra=left[f"`{left_name}`"].eqNullSafe(F.col(name)))
+    return joined.drop(name)
+
+
+def by_name_and_all(df: DataFrame, name: str, out: str) -> DataFrame:
+    """Every row of ``df`` once with its ``name`` and once with NULL in the column ``out`` (a NULL name: once)."""
+    n = F.col(f"`{name}`")
+    none = F.lit(None).cast(df.schema[name].dataType)
+    return df.withColumn(out, F.explode(F.when(n.isNull(), F.array(none)).otherwise(F.array(n, none))))
+
+
+#: Rows with a NULL key meet one of so many NULL stand-ins, chosen by a hash of the row.
+NULL_STAND_INS = 4096
+
+
+def _met(df: DataFrame, key: str, spread_by: Sequence[str] | None, first: int) -> Column:
+    """Second join key: -1 for a row with a key, else the number, from ``first`` on, of the stand-in that it meets."""
+    basis = [F.col(f"`{c}`") for c in (spread_by or _id_columns(df))]
+    return F.when(F.col(f"`{key}`").isNull(), first + F.pmod(F.xxhash64(*basis), F.lit(NULL_STAND_INS))).otherwise(F.lit(-1).cast("bigint"))
+
+
+def _null_stand_ins(df: DataFrame, met: str, first: int) -> DataFrame:
+    return df.sparkSession.range(first, first + NULL_STAND_INS, 1, 1).select(F.col("id").alias(met))
+
+
+def _own_exchange(key: str, salt: str) -> Column:
+    """Always 0, yet part of the join key: the join gets an exchange of its
+    own, so a neighbouring join on the same key does not forbid AQE to split
+    a hot partition."""
+    return F.pmod(F.xxhash64(F.col(key), F.lit(salt)), F.lit(1))
+
+
 def left_join_splittable(
     left: DataFrame,
     right: DataFrame,
@@ -121,6 +172,8 @@ def left_join_splittable(
     unmatched: DataFrame,
     told: Mapping[str, str],
     extra: Column | None = None,
+    also: Mapping[str, str] | None = None,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left join written as one inner join, so that AQE can split a hot key on
     either side (an outer join cannot be split on its nullable side).
@@ -129,24 +182,39 @@ def left_join_splittable(
     of ``unmatched``), one distinct row per combination of left values that
     no right row matches. It comes from a narrow plan, and its rows join the
     right side as placeholders: a left row meets either its matches or its
-    placeholder, whose right columns are NULL. The key carries a constant
-    expression, so the join has an exchange of its own and a neighbouring
-    join on the same key does not forbid the split.
+    placeholder, whose right columns are NULL. A left row with a NULL key
+    meets one of ``NULL_STAND_INS`` placeholders that stand for no key.
+    ``also`` names further key columns (left column, which must be told, ->
+    right column) that are equal or both NULL. The join has an exchange of its
+    own (``_own_exchange``).
     """
+    also = dict(also or {})
     flag, own = _uid("ph"), {c: _uid("k") for c in told}
-    key = _uid("j")
-    stand_in = unmatched.select(
-        *[F.col(u).alias(own[c]) for c, u in told.items()], F.col(told[left_key]).alias(key), F.lit(True).alias(flag)
+    key, met, left_met = _uid("j"), _uid("m"), _uid("m")
+    further = {c: _uid("j") for c in also}
+    stand_in = unmatched.where(F.col(told[left_key]).isNotNull()).select(
+        *[F.col(u).alias(own[c]) for c, u in told.items()], F.col(told[left_key]).alias(key),
+        *[F.col(told[c]).alias(f) for c, f in further.items()], F.lit(-1).cast("bigint").alias(met), F.lit(1).alias(flag),
+    )
+    ext = right.where(F.col(f"`{right_key}`").isNotNull()).select(
+        *[F.col(f"`{c}`") for c in right.columns], F.col(f"`{right_key}`").alias(key),
+        *[F.col(f"`{also[c]}`").alias(f) for c, f in further.items()], F.lit(-1).cast("bigint").alias(met), F.lit(0).alias(flag),
     )
-    ext = right.select(*[F.col(f"`{c}`") for c in right.columns], F.col(f"`{right_key}`").alias(key), F.lit(False).alias(flag))
     ext = ext.unionByName(stand_in, allowMissingColumns=True)
-    same_row = F.col(flag)
+    ext = ext.unionByName(_null_stand_ins(left, met, 0).withColumn(flag, F.lit(2)), allowMissingColumns=True)
+    no_key = F.col(f"`{left_key}`").isNull()
+    asked = {c: _uid("j") for c in also}
+    side = left.select(*[F.col(f"`{c}`") for c in left.columns], _met(left, left_key, spread_by, 0).alias(left_met),
+                       *[F.when(~no_key, F.col(f"`{c}`")).alias(a) for c, a in asked.items()])
+    same_row = F.col(flag) == 1
     for c, k in own.items():
-        same_row = same_row & left[f"`{c}`"].eqNullSafe(F.col(k))
-    match = ~F.col(flag) if extra is None else (~F.col(flag) & extra)
-    own_exchange = [F.pmod(F.xxhash64(c, F.lit(key)), F.lit(1)) for c in (left[f"`{left_key}`"], ext[key])]  # always 0
-    cond = (left[f"`{left_key}`"] == ext[key]) & (own_exchange[0] == own_exchange[1]) & (same_row | match)
-    return left.join(ext, cond, "inner").drop(key, flag, *own.values())
+        same_row = same_row & F.col(f"`{c}`").eqNullSafe(F.col(k))
+    match = F.col(flag) == 0 if extra is None else ((F.col(flag) == 0) & extra)
+    cond = F.col(f"`{left_key}`").eqNullSafe(F.col(key)) & (F.col(left_met) == F.col(met)) & (_own_exchange(f"`{left_key}`", key) == _own_exchange(key, key))
+    for c, f in further.items():
+        cond = cond & F.col(asked[c]).eqNullSafe(F.col(f))
+    cond = cond & ((F.col(flag) == 2) | same_row | match)
+    return side.join(ext, cond, "inner").drop(key, met, left_met, flag, *own.values(), *further.values(), *asked.values())
 
 
 def _guard(col: Column, cnt: str, what: str) -> Column:
@@ -246,6 +314,11 @@ def dated_lookup(
     return joined.select(*fact.columns, *outs)
 
 
+def _key_values(df: DataFrame, key: str, keys: DataFrame | None, out: str) -> DataFrame:
+    src = df.select(F.col(f"`{key}`").alias(out)) if keys is None else keys.select(F.col(f"`{keys.columns[0]}`").alias(out))
+    return src.where(F.col(out).isNotNull()).distinct()
+
+
 def full_outer(
     left: DataFrame,
     right: DataFrame,
@@ -255,27 +328,38 @@ def full_outer(
     spread_left: Sequence[str] | None = None,
     spread_right: Sequence[str] | None = None,
     left_keys: DataFrame | None = None,
+    right_keys: DataFrame | None = None,
 ) -> DataFrame:
-    """Full outer equi-join evaluated as ``(left ⟕ right) ∪ (right ▷ keys(left))``.
-
-    Put the side that may carry a hot key on the left: a left outer join can
-    be split by AQE's skew handling (the hot partition of the left side is cut
-    into several tasks, the right side's matching rows are replicated), which
-    a FULL join cannot. The right-only rows come from an anti join against the
-    distinct left keys, aggregated map-side, so a hot key collapses to one
-    row. NULL keys never match and are spread on both sides. The price: the
-    left input is evaluated a second time for its key column only (column
-    pruning keeps that branch narrow) — unless ``left_keys``, a one-column
-    frame holding exactly the key values of ``left``, is supplied from a
-    cheaper plan.
+    """Full outer equi-join written as one inner join, so that AQE can split a
+    hot key on either side (a FULL join cannot be split at all).
+
+    Each side gets placeholders, rows with NULL in all its columns, for the
+    other side's keys that it does not hold. A row meets either its matches or
+    its placeholder, never both. Rows with a NULL key, which match nothing,
+    meet placeholders of their own that a hash of the row chooses
+    (``NULL_STAND_INS``), so they spread over the cluster.
+
+    The keys come from narrow plans: the side's key column alone (column
+    pruning keeps that branch narrow), or ``left_keys`` / ``right_keys``,
+    one-column frames that hold exactly the side's key values, from cheaper
+    plans. They are made distinct map-side, so a hot key is one row there.
     """
-    matched = keyed_join(left, right, left_key, right_key, "left", spread_by=spread_left)
-    fk = _uid("fk")
-    src = left.select(F.col(f"`{left_key}`").alias(fk)) if left_keys is None else left_keys.select(F.col(left_keys.columns[0]).alias(fk))
-    keys = src.where(F.col(fk).isNotNull()).distinct()
-    cond = (right[f"`{right_key}`"] == keys[fk]) & (_salt(right, [right_key], spread_right) == _zero_salt(keys, [fk]))
-    right_only = right.join(keys, cond, "left_anti")
-    return matched.unionByName(right_only, allowMissingColumns=True)
+    lk, rk = _uid("fk"), _uid("fk")
+    l_keys, r_keys = _key_values(left, left_key, left_keys, lk), _key_values(right, right_key, right_keys, rk)
+
+    def side(df: DataFrame, key: str, spread: Sequence[str] | None, first: int, missing: DataFrame, other_first: int) -> tuple[DataFrame, str, str]:
+        j, met = _uid("j"), _uid("m")
+        rows = df.select(*[F.col(f"`{c}`") for c in df.columns], F.col(f"`{key}`").alias(j), _met(df, key, spread, first).alias(met))
+        stand_in = missing.select(F.col(missing.columns[0]).alias(j), F.lit(-1).cast("bigint").alias(met))
+        rows = rows.unionByName(stand_in, allowMissingColumns=True)
+        return rows.unionByName(_null_stand_ins(df, met, other_first), allowMissingColumns=True), j, met
+
+    only_right = r_keys.join(l_keys, F.col(rk) == F.col(lk), "left_anti")
+    only_left = l_keys.join(r_keys, F.col(lk) == F.col(rk), "left_anti")
+    l_side, lj, lm = side(left, left_key, spread_left, 0, only_right, NULL_STAND_INS)
+    r_side, rj, rm = side(right, right_key, spread_right, NULL_STAND_INS, only_left, 0)
+    cond = F.col(lj).eqNullSafe(F.col(rj)) & (F.col(lm) == F.col(rm)) & (_own_exchange(lj, lj) == _own_exchange(rj, lj))
+    return l_side.join(r_side, cond, "inner").drop(lj, lm, rj, rm)
 
 
 def lineage_chain(
@@ -290,6 +374,8 @@ def lineage_chain(
     pr_spread: Sequence[str] | None = None,
     rfq_spread: Sequence[str] | None = None,
     po_keys: DataFrame | None = None,
+    pr_keys: DataFrame | None = None,
+    rfq_keys: DataFrame | None = None,
 ) -> DataFrame:
     """``(po ⟗ pr) ⟗ rfq`` where the second join is keyed on the **PR**
     side's key only (not coalesced): PO-only rows never meet an RFQ and RFQs
@@ -298,14 +384,14 @@ def lineage_chain(
     Evaluated as ``po ⟗ (rfq ⟗ pr)``: both predicates are NULL-rejecting
     equalities and the second references only PR and RFQ columns, so the
     full joins associate. The narrow PR and RFQ rows meet first and the wide
-    order rows are shuffled once. In each join the side that can hold a hot
-    key (many orders or RFQ lines per requisition distribution) is the left,
-    skew-splittable one. No join strategy is forced: sort-merge joins spill.
+    order rows are shuffled once. A hot key can be split on any side (many
+    orders or RFQ lines per requisition distribution). ``*_keys`` are narrow
+    plans of the sides' key values, as in ``full_outer``.
     """
     if rfq is not None:
-        pr = full_outer(rfq, pr, rfq_key or pr_key, pr_key, spread_left=rfq_spread, spread_right=pr_spread)
+        pr = full_outer(rfq, pr, rfq_key or pr_key, pr_key, spread_left=rfq_spread, spread_right=pr_spread, left_keys=rfq_keys, right_keys=pr_keys)
         pr_spread = None if pr_spread is None else list(pr_spread) + ([rfq_key] if rfq_key else [])
-    return full_outer(po, pr, po_key, pr_key, spread_left=po_spread, spread_right=pr_spread, left_keys=po_keys)
+    return full_outer(po, pr, po_key, pr_key, spread_left=po_spread, spread_right=pr_spread, left_keys=po_keys, right_keys=pr_keys)
 
 
 def semi_in(df: DataFrame, other: DataFrame, keys: str | Sequence[str], other_keys: str | Sequence[str] | None = None) -> DataFrame:

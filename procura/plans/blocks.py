@@ -43,7 +43,7 @@ from procura.operators import (
     ordered_listagg_expr,
     scalar_lookup,
 )
-from procura.operators.joins import same
+from procura.operators.joins import by_name_and_all, same
 
 Tables = Mapping[str, DataFrame]
 
@@ -138,6 +138,11 @@ def _first_approval(t: Tables, object_type: str, out: str) -> DataFrame:
 
 # --------------------------------------------------------------- requisition
 
+def _live_req_lines(t: Tables, sourced: bool) -> DataFrame:
+    lines = t["req_lines"].where(~flag_is("cancel_flag", "Y", "N"))
+    return lines.where(F.col("document_type_code") == BLANKET) if sourced else lines.where(F.col("document_type_code").isNull())
+
+
 def pr_block(t: Tables, as_of: str, sourced: bool) -> DataFrame:
     """K1: requisition header ⋈ live line (⟕ distribution, item, requestor).
 
@@ -150,9 +155,7 @@ def pr_block(t: Tables, as_of: str, sourced: bool) -> DataFrame:
     hdr = attach(hdr, _first_approval(t, "REQUISITION", "pr_first_appr"), "porha_requisition_header_id", "pr_first_appr_key")
     hdr = scalar_lookup(hdr, pr_pending_with(t, as_of), "porha_segment1", "k3_pr_number",
                         {"pr_pending_with": "k3_name"}, name="PR approval pending with")
-    lines = t["req_lines"].where(~flag_is("cancel_flag", "Y", "N"))
-    lines = lines.where(F.col("document_type_code") == BLANKET) if sourced else lines.where(F.col("document_type_code").isNull())
-    porla = pfx(lines, "porla")
+    porla = pfx(_live_req_lines(t, sourced), "porla")
     pr = hdr.join(porla, F.col("porha_requisition_header_id") == F.col("porla_requisition_header_id"), "inner")
     pr = keyed_join(pr, pfx(t["req_distributions"], "pord"), "porla_requisition_line_id", "pord_requisition_line_id", "left")
     pr = keyed_join(pr, pfx(t["items"], "msib"), ["porla_item_id", "porla_destination_organization_id"],
@@ -199,6 +202,23 @@ def buyers(t: Tables, as_of: str) -> DataFrame:
     )
 
 
+def _sourced_distributions(t: Tables, ph: DataFrame) -> DataFrame:
+    """RFQ headers ``ph`` ⋈ item line ⋈ backing requisition ⋈ requisition header, line and distribution."""
+    phl = pfx(t["rfq_lines"], "phl")
+    pbr = pfx(t["rfq_backing_reqs"], "pbr")
+    prh = pfx(t["req_headers"].select("requisition_header_id"), "prh")
+    prl = pfx(t["req_lines"].select("requisition_line_id", "requisition_header_id"), "prl")
+    prd = pfx(t["req_distributions"], "prd")
+    return (
+        ph.join(phl, F.col("ph_auction_header_id") == F.col("phl_auction_header_id"))
+        .join(pbr, (F.col("phl_auction_header_id") == F.col("pbr_auction_header_id")) & (F.col("phl_line_number") == F.col("pbr_line_number")))
+        .join(prh, F.col("pbr_requisition_header_id") == F.col("prh_requisition_header_id"))
+        .join(prl, (F.col("prh_requisition_header_id") == F.col("prl_requisition_header_id"))
+              & (F.col("pbr_requisition_line_id") == F.col("prl_requisition_line_id")))
+        .join(prd, F.col("prl_requisition_line_id") == F.col("prd_requisition_line_id"))
+    )
+
+
 def rfq_block(t: Tables, as_of: str, legacy: bool = False, dedupe_rfq: bool = False) -> DataFrame:
     """K2: RFQ header ⋈ item line ⋈ backing requisition ⋈ requisition header,
     line and distribution; ⟕ buyer; last SUBMIT date. One row per RFQ line ×
@@ -220,19 +240,7 @@ def rfq_block(t: Tables, as_of: str, legacy: bool = False, dedupe_rfq: bool = Fa
     ).withColumnRenamed("object_id", "rfq_submit_key")
     ph = attach(ph, submit, "ph_auction_header_id", "rfq_submit_key")
     ph = keyed_join(ph, buyers(t, as_of), "ph_created_by", "buyer_user_id", "left")
-    phl = pfx(t["rfq_lines"], "phl")
-    pbr = pfx(t["rfq_backing_reqs"], "pbr")
-    prh = pfx(t["req_headers"].select("requisition_header_id"), "prh")
-    prl = pfx(t["req_lines"].select("requisition_line_id", "requisition_header_id"), "prl")
-    prd = pfx(t["req_distributions"], "prd")
-    x = (
-        ph.join(phl, F.col("ph_auction_header_id") == F.col("phl_auction_header_id"))
-        .join(pbr, (F.col("phl_auction_header_id") == F.col("pbr_auction_header_id")) & (F.col("phl_line_number") == F.col("pbr_line_number")))
-        .join(prh, F.col("pbr_requisition_header_id") == F.col("prh_requisition_header_id"))
-        .join(prl, (F.col("prh_requisition_header_id") == F.col("prl_requisition_header_id"))
-              & (F.col("pbr_requisition_line_id") == F.col("prl_requisition_line_id")))
-        .join(prd, F.col("prl_requisition_line_id") == F.col("prd_requisition_line_id"))
-    )
+    x = _sourced_distributions(t, ph)
     rfq_type = F.col("ph_auction_origination_code") if legacy else decode("ph_bid_visibility_code", BID_VISIBILITY)
     return x.select(
         F.col("prd_distribution_id").alias("ad_distribution_id"),
@@ -369,13 +377,17 @@ def receipt_chain(t: Tables, as_of: str, kind: str = STANDARD, legacy: bool = Fa
     return rt
 
 
+def _live_invoice_distributions(t: Tables) -> DataFrame:
+    return t["invoice_distributions"].where(flag_is("cancellation_flag", "N", "Y"))
+
+
 def invoice_chain(t: Tables, kind: str) -> DataFrame:
     """K13/K14 source: live invoice distribution ⟕ line ⟕ invoice ⟕ payment
     schedule ⟕ invoice payment (invoice, instalment) ⟕ check.
 
     Cancellation flags: a NULL distribution flag drops the row; the line's
     flag is tested (NULL drops) in the standard report only."""
-    aida = pfx(t["invoice_distributions"].where(flag_is("cancellation_flag", "N", "Y")), "aida")
+    aida = pfx(_live_invoice_distributions(t), "aida")
     lines = t["invoice_lines"]
     if kind == STANDARD:
         lines = lines.where(flag_is("cancelled_flag", "N", "Y"))
@@ -391,13 +403,22 @@ def invoice_chain(t: Tables, kind: str) -> DataFrame:
     return keyed_join(inv, paid, "aida_invoice_id", "aia_invoice_id", "left")
 
 
-def distribution_chain(t: Tables, kind: str) -> DataFrame:
-    """PO distribution ⟕ ledger code ⟕ work order ⟕ project ⟕ invoice chain."""
-    pda = pfx(t["po_distributions"], "pda")
+def distribution_chain(t: Tables, kind: str, pda: DataFrame | None = None) -> DataFrame:
+    """PO distribution ⟕ ledger code ⟕ work order ⟕ project ⟕ invoice chain,
+    of ``pda`` (default: every distribution).
+
+    A distribution with very many invoice rows is split over many tasks: the
+    distributions without a live invoice row are told by a narrow plan."""
+    if pda is None:
+        pda = pfx(t["po_distributions"], "pda")
     pda = keyed_join(pda, pfx(t["gl_code_combinations"], "gcc"), "pda_code_combination_id", "gcc_code_combination_id", "left")
     pda = keyed_join(pda, pfx(t["wip_entities"], "we"), "pda_wip_entity_id", "we_wip_entity_id", "left")
     pda = keyed_join(pda, pfx(t["projects"], "ppa"), "pda_project_id", "ppa_project_id", "left")
-    return keyed_join(pda, invoice_chain(t, kind), "pda_po_distribution_id", "aida_po_distribution_id", "left")
+    billed = _live_invoice_distributions(t).select(F.col("po_distribution_id").alias("b_dist"))
+    unbilled = t["po_distributions"].select(F.col("po_distribution_id").alias("u_dist")).distinct()
+    unbilled = unbilled.join(billed, F.col("u_dist") == F.col("b_dist"), "left_anti")
+    return left_join_splittable(pda, invoice_chain(t, kind), "pda_po_distribution_id", "aida_po_distribution_id", unbilled,
+                                {"pda_po_distribution_id": "u_dist"})
 
 
 def srn_block(t: Tables, excluded_srns: Sequence[int] = ()) -> DataFrame:
@@ -454,12 +475,18 @@ def _wanted_distributions(t: Tables, kind: str) -> DataFrame:
     return named.unionByName(none).distinct()
 
 
-def _raw_distributions(t: Tables) -> DataFrame:
-    return t["po_distributions"].select(F.col("line_location_id").alias("d_loc"), F.col("po_distribution_id").alias("d_id"),
-                                        F.col("req_distribution_id").alias("po_key"))
+def _raw_distributions(t: Tables, kind: str) -> DataFrame:
+    """(d_loc, d_asked, ...): every distribution as an order row can ask for it: by location alone (``d_asked`` NULL)
+    and, on the blanket side, by its own id."""
+    d = t["po_distributions"].select(F.col("line_location_id").alias("d_loc"), F.col("po_distribution_id").alias("d_id"),
+                                     F.col("req_distribution_id").alias("po_key"))
+    return by_name_and_all(d, "d_id", "d_asked") if kind == BLANKET else d.withColumn("d_asked", F.lit(None).cast("bigint"))
 
 
-_ASKED = "k_loc = d_loc and (r_dist is null or r_dist = d_id)"
+def _asks(kind: str) -> Column:
+    """Equi-join condition between ``_wanted_distributions`` and ``_raw_distributions``."""
+    at = F.col("k_loc") == F.col("d_loc")
+    return at & F.col("r_dist").eqNullSafe(F.col("d_asked")) if kind == BLANKET else at
 
 
 def po_block(t: Tables, as_of: str, kind: str, legacy: bool = False, excluded_srns: Sequence[int] = (),
@@ -482,17 +509,20 @@ def po_block(t: Tables, as_of: str, kind: str, legacy: bool = False, excluded_sr
     po = lines.join(pha, F.col("pla_po_header_id") == F.col("pha_po_header_id"))
     told = {"plla_line_location_id": "k_loc", "pha_po_header_id": "k_hdr", "pla_po_line_id": "k_line"}
     rt_cond = same("pha_po_header_id", "rt_po_header_id") & same("pla_po_line_id", "rt_po_line_id")
-    asked = {"plla_line_location_id": "k_loc"}
-    dist_cond = None
+    asked, also = {"plla_line_location_id": "k_loc"}, {}
+    wanted, pda = _wanted_distributions(t, kind), pfx(t["po_distributions"], "pda")
     if kind == BLANKET:
         told["pra_po_release_id"] = "k_rel"
-        asked["rt_po_distribution_id"] = "r_dist"
         rt_cond = rt_cond & same("pra_po_release_id", "rt_po_release_id")
-        dist_cond = (F.col("rt_po_distribution_id") == F.col("pda_po_distribution_id")) | F.col("rt_po_distribution_id").isNull()
+        # a receipt that names a distribution meets it by (location, id), the others meet all of
+        # their location by (location, NULL); distributions that no row asks for so are left out
+        asked["rt_po_distribution_id"], also = "r_dist", {"rt_po_distribution_id": "pda_asked"}
+        pda = by_name_and_all(pda, "pda_po_distribution_id", "pda_asked")
+        pda = pda.join(wanted, (F.col("pda_line_location_id") == F.col("k_loc")) & F.col("pda_asked").eqNullSafe(F.col("r_dist")), "left_semi")
     receipts = receipt_chain(t, as_of, kind, legacy, excluded_srns, inspection_lookup)
     po = left_join_splittable(po, receipts, "plla_line_location_id", "rt_po_line_location_id", _unreceived(t, kind), told, rt_cond)
-    without = _wanted_distributions(t, kind).join(_raw_distributions(t), F.expr(_ASKED), "left_anti")
-    return left_join_splittable(po, distribution_chain(t, kind), "plla_line_location_id", "pda_line_location_id", without, asked, dist_cond)
+    without = wanted.join(_raw_distributions(t, kind), _asks(kind), "left_anti")
+    return left_join_splittable(po, distribution_chain(t, kind, pda), "plla_line_location_id", "pda_line_location_id", without, asked, also=also)
 
 
 def po_distribution_keys(t: Tables, kind: str) -> DataFrame:
@@ -506,4 +536,19 @@ def po_distribution_keys(t: Tables, kind: str) -> DataFrame:
     appears when the location has no matching receipt, or a matching receipt
     names it or names none — decided from the raw receipt rows.
     """
-    return _wanted_distributions(t, kind).join(_raw_distributions(t), F.expr(_ASKED)).select("po_key")
+    return _raw_distributions(t, kind).join(_wanted_distributions(t, kind), _asks(kind), "left_semi").select("po_key")
+
+
+def pr_distribution_keys(t: Tables, sourced: bool) -> DataFrame:
+    """Requisition-distribution ids of ``pr_block``'s rows, without its lookups."""
+    return _live_req_lines(t, sourced).select(F.col("requisition_line_id").alias("y_line"), F.col("requisition_header_id").alias("y_hdr")).join(
+        t["req_headers"].select(F.col("requisition_header_id").alias("y_id")), F.col("y_hdr") == F.col("y_id")
+    ).join(
+        t["req_distributions"].select(F.col("requisition_line_id").alias("y_of"), F.col("distribution_id").alias("pr_dist")), F.col("y_line") == F.col("y_of")
+    ).select("pr_dist")
+
+
+def rfq_distribution_keys(t: Tables) -> DataFrame:
+    """Requisition-distribution ids of ``rfq_block``'s rows, without its lookups."""
+    return _sourced_distributions(t, t["rfq_headers"].where(F.col("auction_header_id").isNotNull()).select(F.col("auction_header_id").alias("ph_auction_header_id"))).select(
+        F.col("prd_distribution_id").alias("rfq_dist"))

@@ -20,7 +20,18 @@ from pyspark.sql import functions as F
 
 from procura.functions import concat_code, convert_amount, typed_null
 from procura.operators import lineage_chain, union_distinct
-from procura.plans.blocks import BLANKET, INSPECTION_LOOKUP, QS_LOOKUP, STANDARD, po_block, po_distribution_keys, pr_block, rfq_block
+from procura.plans.blocks import (
+    BLANKET,
+    INSPECTION_LOOKUP,
+    QS_LOOKUP,
+    STANDARD,
+    po_block,
+    po_distribution_keys,
+    pr_block,
+    pr_distribution_keys,
+    rfq_block,
+    rfq_distribution_keys,
+)
 from procura.plans.schema import LEGACY_SCHEMA, REPORT_SCHEMA
 
 Tables = Mapping[str, DataFrame]
@@ -201,7 +212,7 @@ def report_blanket(t: Tables, as_of: str = DEFAULT_AS_OF, legacy: bool = False,
     po = _narrow_po(po_block(t, as_of, BLANKET, legacy, excluded_srns, qs_lookup=qs_lookup), BLANKET, legacy)
     pr = pr_block(t, as_of, sourced=True)
     chained = lineage_chain(po, pr, None, _PO_KEY, "DISTRIBUTION_ID", po_spread=_PO_SPREAD, pr_spread=_PR_SPREAD,
-                            po_keys=po_distribution_keys(t, BLANKET))
+                            po_keys=po_distribution_keys(t, BLANKET), pr_keys=pr_distribution_keys(t, True))
     return _project(chained, BLANKET, legacy)
 
 
@@ -214,7 +225,7 @@ def report_standard(t: Tables, as_of: str = DEFAULT_AS_OF, legacy: bool = False,
     rfq = rfq_block(t, as_of, legacy=legacy, dedupe_rfq=dedupe_rfq)
     chained = lineage_chain(po, pr, rfq, _PO_KEY, "DISTRIBUTION_ID", "ad_distribution_id",
                             po_spread=_PO_SPREAD, pr_spread=_PR_SPREAD, rfq_spread=["ad_distribution_id"],
-                            po_keys=po_distribution_keys(t, STANDARD))
+                            po_keys=po_distribution_keys(t, STANDARD), pr_keys=pr_distribution_keys(t, False), rfq_keys=rfq_distribution_keys(t))
     return _project(chained, STANDARD, legacy)
 
 

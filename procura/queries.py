@@ -24,6 +24,7 @@ from procura.operators import (
     first_event,
     full_outer,
     keyed_join,
+    keyed_join_named,
     last_action_rows,
     latest_per_key,
     lineage_chain,
@@ -157,14 +158,13 @@ def left_composite(spark, sf):
 
 
 def left_residual_or(spark, sf):
-    """Equi key plus residual ``a = b OR b IS NULL``."""
+    """Equi key plus ``a = b OR b IS NULL``, as disjoint equi-joins."""
     o = _t(spark, sf, "orders").select(
         "o_orderkey",
         F.when(F.col("o_orderstatus") == "O", F.lit(None)).otherwise((F.col("o_orderkey") % 7 + 1).cast("int")).alias("pick"),
     )
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    extra = (F.col("l_linenumber") == F.col("pick")) | F.col("pick").isNull()
-    return keyed_join(o, li, "o_orderkey", "l_orderkey", "left", extra=extra).select("o_orderkey", "pick", "l_linenumber", "l_quantity")
+    return keyed_join_named(o, li, "o_orderkey", "l_orderkey", "pick", "l_linenumber", "left").select("o_orderkey", "pick", "l_linenumber", "l_quantity")
 
 
 def dated_join_asof(spark, sf):

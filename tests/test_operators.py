@@ -17,6 +17,7 @@ from procura.operators import (
     first_event,
     full_outer,
     keyed_join,
+    keyed_join_named,
     last_action_rows,
     latest_per_key,
     left_join_splittable,
@@ -107,6 +108,88 @@ def test_splittable_left_join_splits_a_hot_key_on_either_side(spark, hot_side):
         _restore(spark, old)
 
 
+def _hot(spark, n, key, value):
+    """``n`` rows with a wide column, half of them of key 5, some of no key."""
+    k = F.when(F.col("id") % 2 == 0, F.lit(5)).when(F.col("id") % 101 == 0, F.lit(None)).otherwise(F.col("id") % 700)
+    return spark.range(0, n, 1, 8).select(k.cast("bigint").alias(key), F.col("id").alias(value), F.sha2(F.col("id").cast("string"), 256).alias(f"{value}_pad"))
+
+
+@pytest.mark.parametrize("hot_side", ["left", "right"])
+def test_full_outer_splits_a_hot_key_on_either_side(spark, hot_side):
+    old = _skewed(spark)
+    try:
+        n = 60_000
+        few = spark.range(300, 1000).select(F.col("id").alias("fk"), F.col("id").alias("fv")).union(spark.createDataFrame([(5, -5), (None, -1)], "fk long, fv long"))
+        many = _hot(spark, n, "mk", "mv")
+        out = full_outer(many, few, "mk", "fk") if hot_side == "left" else full_outer(few, many, "fk", "mk")
+        lonely = few.join(many, F.col("fk") == F.col("mk"), "left_anti").count(), many.join(few, F.col("fk") == F.col("mk"), "left_anti").count()
+        assert lonely[0] > 300 and lonely[1] > 10_000
+        assert len(out.collect()) == n + lonely[0]
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+        assert (out.where("mv is null").count(), out.where("fv is null").count()) == lonely
+    finally:
+        _restore(spark, old)
+
+
+def test_lineage_chain_splits_many_rfq_lines_of_one_requisition_distribution(spark):
+    old = _skewed(spark)
+    try:
+        n = 60_000
+        po = spark.range(100, 300).select(F.col("id").alias("po_key"), F.col("id").alias("po"))
+        pr = spark.range(0, 200).select(F.col("id").alias("pr_key"), F.col("id").alias("pr"))
+        out = lineage_chain(po, pr, _hot(spark, n, "rfq_key", "rfq"), "po_key", "pr_key", "rfq_key")
+        assert out.where("rfq is not null").count() == n
+        assert len(out.collect()) == n + out.where("rfq is null").count()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        _restore(spark, old)
+
+
+def _null_safe(df, *cols):
+    return sorted(map(str, df.select(*cols).collect()))
+
+
+def test_full_outer_equals_a_full_join_on_nulls_repeats_and_empty_sides(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e"), (9, None)], "lk int, lv string")
+    right = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z"), (None, "n"), (3, "z")], "rk int, rv string")
+    cols = ["lk", "lv", "rk", "rv"]
+    for a in (left, left.limit(0)):
+        for b in (right, right.limit(0)):
+            assert _null_safe(full_outer(a, b, "lk", "rk"), *cols) == _null_safe(a.join(b, a["lk"] == b["rk"], "full"), *cols)
+
+
+def test_keyed_join_named_equals_the_residual_or(spark):
+    left = spark.createDataFrame([(1, 1, 10), (2, 1, None), (3, 2, 20), (4, None, None), (5, None, 10), (6, 3, 99), (7, 1, 10), (8, 4, None)], "id int, lk int, ln int")
+    right = spark.createDataFrame([(1, 10, "a"), (1, 11, "b"), (2, 21, "c"), (None, 10, "d"), (1, None, "e"), (1, 10, "f"), (3, 99, None)], "rk int, rn int, v string")
+    want = left.join(right, (left["lk"] == right["rk"]) & ((left["ln"] == right["rn"]) | left["ln"].isNull()), "left")
+    got = keyed_join_named(left, right, "lk", "rk", "ln", "rn")
+    assert got.columns == want.columns and _null_safe(got, *want.columns) == _null_safe(want, *want.columns)
+    inner = keyed_join_named(left, right, "lk", "rk", "ln", "rn", "inner")
+    assert _null_safe(inner, *want.columns) == _null_safe(want.where("rk is not null"), *want.columns)
+
+
+def test_keyed_join_named_compares_no_more_pairs_than_match(spark):
+    # one location with n receipts that name one of its n distributions each: a residual OR would compare n * n pairs
+    n = 20_000
+    left = spark.range(n).select(F.lit(1).alias("lk"), F.col("id").alias("ln"))
+    right = spark.range(n).select(F.lit(1).alias("rk"), F.col("id").alias("rn"))
+    out = keyed_join_named(left, right, "lk", "rk", "ln", "rn", "inner")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    join = next(ln for ln in plan.splitlines() if "Join Inner" in ln)
+    assert " OR " not in join and "<=>" in join
+    assert out.count() == n
+
+
+def test_splittable_left_join_keeps_rows_without_a_key(spark):
+    left = spark.createDataFrame([(1, 7, None), (2, None, None), (3, None, 4), (4, 8, 5), (5, 8, None), (6, 9, 1)], "id int, k int, n int")
+    right = spark.createDataFrame([(7, None, "a"), (8, 5, "b"), (None, 4, "c"), (8, None, "d")], "rk int, rn int, v string")
+    on = (left["k"] == right["rk"]) & left["n"].eqNullSafe(right["rn"])
+    want = left.join(right, on, "left")
+    without = left.select(F.col("k").alias("u"), F.col("n").alias("un")).join(right, (F.col("u") == F.col("rk")) & F.col("un").eqNullSafe(F.col("rn")), "left_anti").distinct()
+    got = left_join_splittable(left, right, "k", "rk", without, {"k": "u", "n": "un"}, also={"n": "rn"})
+    assert got.columns == want.columns and _null_safe(got, *want.columns) == _null_safe(want, *want.columns)
+
+
 def test_full_outer_forces_no_join_strategy(spark):
     old = _skewed(spark)
     try:

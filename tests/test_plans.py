@@ -5,14 +5,16 @@ scan."""
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from procura.operators import drill
-from procura.plans.blocks import inspection_pending
+from procura.plans.blocks import distribution_chain, inspection_pending
 from procura.plans.drilldown import narrowed
 from procura.plans.reports import report_blanket, report_standard, report_union
 from procura.sources.derived import derived_tables
 from procura.sources.tables import TABLES, load_tables
 from tests.p2p_fixture import AS_OF, golden_tables
+from tests.test_operators import _restore, _skewed
 
 
 @pytest.fixture(scope="module")
@@ -73,5 +75,30 @@ def test_inspection_lists_never_join_receipts_with_staff(parquet_tables):
     assert plan.index("k6_pending_with") > 0 and "email" not in plan[:top]
 
 
+def test_one_distribution_with_very_many_invoice_rows_is_split(spark):
+    t = dict(golden_tables(spark))
+    n, inv = 40_000, t["invoice_distributions"]
+    some = next(r for r in inv.collect() if r["cancellation_flag"] == "N" and r["po_distribution_id"] is not None)
+    given = {"invoice_id": F.col("id") + 10_000_000, "po_distribution_id": F.lit(some["po_distribution_id"]), "cancellation_flag": F.lit("N")}
+    pad = F.sha2(F.col("id").cast("string"), 256)
+    more = spark.range(0, n, 1, 8).select(*[given.get(f.name, pad if f.dataType.simpleString() == "string" else F.lit(None)).cast(f.dataType).alias(f.name) for f in inv.schema])
+    t["invoice_distributions"] = inv.unionByName(more)
+    old = _skewed(spark)
+    try:
+        out = distribution_chain(t, "STANDARD").select("pda_po_distribution_id", "aida_invoice_id", "aida_match_status_flag", "aia_invoice_num")
+        got = out.collect()
+        assert sum(r["pda_po_distribution_id"] == some["po_distribution_id"] for r in got) >= n
+        assert {r["pda_po_distribution_id"] for r in got} == {r[0] for r in t["po_distributions"].select("po_distribution_id").collect()}
+        assert "skew=true" in _plan(out)
+    finally:
+        _restore(spark, old)
+
+
+def test_no_report_join_has_a_residual_or_on_distributions(parquet_tables):
+    plan = report_blanket(parquet_tables, AS_OF)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [ln for ln in plan.splitlines() if "Join " in ln and "po_distribution_id" in ln and " OR isnull(rt_po_distribution_id" in ln]
+    assert not joins
+
+
 def test_all_tables_known():
     assert len(TABLES) == 38
