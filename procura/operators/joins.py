@@ -197,14 +197,14 @@ def left_join_splittable(
         *[F.col(told[c]).alias(f) for c, f in further.items()], F.lit(-1).cast("bigint").alias(met), F.lit(1).alias(flag),
     )
     ext = right.where(F.col(f"`{right_key}`").isNotNull()).select(
-        *[F.col(f"`{c}`") for c in right.columns], F.col(f"`{right_key}`").alias(key),
+        "*", F.col(f"`{right_key}`").alias(key),
         *[F.col(f"`{also[c]}`").alias(f) for c, f in further.items()], F.lit(-1).cast("bigint").alias(met), F.lit(0).alias(flag),
     )
     ext = ext.unionByName(stand_in, allowMissingColumns=True)
     ext = ext.unionByName(_null_stand_ins(left, met, 0).withColumn(flag, F.lit(2)), allowMissingColumns=True)
     no_key = F.col(f"`{left_key}`").isNull()
     asked = {c: _uid("j") for c in also}
-    side = left.select(*[F.col(f"`{c}`") for c in left.columns], _met(left, left_key, spread_by, 0).alias(left_met),
+    side = left.select("*", _met(left, left_key, spread_by, 0).alias(left_met),
                        *[F.when(~no_key, F.col(f"`{c}`")).alias(a) for c, a in asked.items()])
     same_row = F.col(flag) == 1
     for c, k in own.items():
@@ -349,7 +349,7 @@ def full_outer(
 
     def side(df: DataFrame, key: str, spread: Sequence[str] | None, first: int, missing: DataFrame, other_first: int) -> tuple[DataFrame, str, str]:
         j, met = _uid("j"), _uid("m")
-        rows = df.select(*[F.col(f"`{c}`") for c in df.columns], F.col(f"`{key}`").alias(j), _met(df, key, spread, first).alias(met))
+        rows = df.select("*", F.col(f"`{key}`").alias(j), _met(df, key, spread, first).alias(met))
         stand_in = missing.select(F.col(missing.columns[0]).alias(j), F.lit(-1).cast("bigint").alias(met))
         rows = rows.unionByName(stand_in, allowMissingColumns=True)
         return rows.unionByName(_null_stand_ins(df, met, other_first), allowMissingColumns=True), j, met

@@ -62,7 +62,8 @@ BID_VISIBILITY = (("SEALED_AUCTION", "SEALED"), ("SEALED_BIDDING", "BLIND"))
 
 def pfx(df: DataFrame, p: str, cols: Sequence[str] | None = None) -> DataFrame:
     """Select ``cols`` (default all) renamed to ``{p}_{col}``."""
-    return df.select(*[F.col(c).alias(f"{p}_{c}") for c in (cols or df.columns)])
+    cols = list(cols or df.columns)
+    return (df if cols == df.columns else df.select(*cols)).toDF(*[f"{p}_{c}" for c in cols])
 
 
 def attach(df: DataFrame, other: DataFrame, left_key: str | Sequence[str], right_key: str | Sequence[str]) -> DataFrame:

@@ -29,6 +29,8 @@ def get_spark(cores: int | str = "*", app: str = "procura", shuffle_partitions:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
         .config("spark.driver.memory", "16g")
+        # the reports build some thousand columns; recording the Python call site of each takes longer than analysing them
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from procura.operators import drill
+from procura.plans import drilldown
 from procura.plans.blocks import distribution_chain, inspection_pending
 from procura.plans.drilldown import narrowed
 from procura.plans.reports import report_blanket, report_standard, report_union
@@ -68,6 +69,16 @@ def test_document_drill_down_reduces_the_fact_tables(spark, sf_small, column, va
     assert "IN (" in _plan(small["rcv_transactions"]) or "=" in _plan(small["rcv_transactions"])
 
 
+def test_document_drill_down_takes_three_jobs_and_handles_long_id_lists(spark, sf_small, monkeypatch):
+    t = derived_tables(spark, sf_small)
+    calls, collect = [], drilldown._found
+    monkeypatch.setattr(drilldown, "_found", lambda frames: (calls.append(sorted(frames)), collect(frames))[1])
+    short = {n: df.count() for n, df in narrowed(t, "PO Number", "4000030").items() if n in ("rcv_transactions", "invoices", "req_headers", "checks")}
+    assert len(calls) == 3
+    monkeypatch.setattr(drilldown, "LITERAL_IDS", 1)  # id sets stay frames
+    assert short == {n: df.count() for n, df in narrowed(t, "PO Number", "4000030").items() if n in short} and min(short.values()) > 0
+
+
 def test_inspection_lists_never_join_receipts_with_staff(parquet_tables):
     plan = inspection_pending(parquet_tables, AS_OF)._jdf.queryExecution().optimizedPlan().toString()
     # the staff branch (e-mail) is aggregated below the join that has the receipts
