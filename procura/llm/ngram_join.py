@@ -247,8 +247,9 @@ def one_of_each(docs: DataFrame, key: str, text: str, k: int, percent: int) -> D
     """The rows of ``docs`` without those that are not the first of their class.
 
     The first is the row of least id, then of least set digest; of rows with
-    equal id and equal set one stays. Documents without words all stay. Only
-    the dropped (id, digest) pairs meet the texts again.
+    equal id and equal set one stays. Documents without words all stay. An id
+    whose rows all go, or all stay, is settled by a join on the id alone; only
+    the rows of ids with both kinds are hashed again.
     """
     rows, linked = components(docs, key, text, k, percent)
     full = rows.where("n > 0").groupBy("id", "sid").agg(F.count(F.lit(1)).alias("copies"))
@@ -257,15 +258,24 @@ def one_of_each(docs: DataFrame, key: str, text: str, k: int, percent: int) -> D
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "sid")
     classes = placed.groupBy("component").agg(F.min(rank).alias("first"))
     placed = stored(placed.join(classes, "component").withColumn("stays", rank == F.col("first")), "ngram-classes")
+    empty = rows.where("n = 0").select("id", F.lit(True).alias("stays"), F.lit(1).cast("bigint").alias("copies")).distinct()
+    by_id = placed.select("id", "stays", "copies").unionByName(empty).groupBy(F.col("id").alias("__id"))
+    by_id = by_id.agg(F.bool_and(~F.col("stays")).alias("all_go"), F.bool_or(~F.col("stays") | (F.col("copies") > 1)).alias("some_go"))
+    by_id = stored(by_id.where("some_go"), "ngram-ids")
+    of_id = F.col(key).cast("bigint").eqNullSafe(F.col("__id"))
+    kept = docs.join(_small(by_id.where("all_go").select("__id")), of_id, "left_anti")
+    mixed = by_id.where("not all_go").select("__id")
+    if not mixed.head(1):
+        return kept
+    mixed = _small(mixed)
     gone = placed.where("not stays").select(F.col("id").alias("__id"), F.col("sid").alias("__gone"))
     again = placed.where("stays and copies > 1").select(F.col("id").alias("__id"), F.col("sid").alias("__gone"))
-    named = _with_digest(docs, text, k)
-    same = F.col(key).cast("bigint").eqNullSafe(F.col("__id")) & (F.col("__sid") == F.col("__gone"))
-    kept = named.join(_small(gone), same, "left_anti")
+    same = of_id & (F.col("__sid") == F.col("__gone"))
+    named = _with_digest(kept.join(mixed, of_id, "left_semi"), text, k).join(_small(gone), same, "left_anti")
     if again.head(1):
-        single = kept.join(_small(again), same, "left_semi").dropDuplicates([key, "__sid"])
-        kept = kept.join(_small(again), same, "left_anti").unionByName(single)
-    return kept.drop("__sid")
+        single = named.join(_small(again), same, "left_semi").dropDuplicates([key, "__sid"])
+        named = named.join(_small(again), same, "left_anti").unionByName(single)
+    return kept.join(mixed, of_id, "left_anti").unionByName(named.drop("__sid"))
 
 
 def _small(df: DataFrame) -> DataFrame:
