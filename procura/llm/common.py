@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,6 +30,24 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: Most bytes of an Arrow batch that ``bounded_batches`` lets a session send to a Python worker.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on the session cuts Arrow batches at BATCH_BYTES (or at less, where it says so itself).
+
+    Batches are counted in rows otherwise, so those of a table with long texts
+    take as much memory as its texts are long, on both sides of the pipe. A
+    row longer than that is a batch of its own.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    said = re.fullmatch(r"(\d+)([kmg]?)b?", spark.conf.get(name).strip().lower())
+    now = int(said[1]) << {"": 0, "k": 10, "m": 20, "g": 30}[said[2]] if said else 0
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 

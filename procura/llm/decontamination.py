@@ -273,11 +273,12 @@ def item_blocks(items: DataFrame, key: str, text: str) -> Iterator[list[tuple[ob
             at += ITEMS_PER_BLOCK
 
 
-def _batches(batches: Iterator[pa.RecordBatch], index: ItemIndex):
+def _batches(batches: Iterator[pa.RecordBatch], index: ItemIndex, at: int = 0):
+    """(part, its matches) of every run of rows; column ``at`` holds the texts."""
     for batch in batches:
-        for i, n in slices(batch.column(0), 1 << 20):
+        for i, n in slices(batch.column(at), 1 << 20):
             part = batch.slice(i, n)
-            yield part, index.matches(*words_of(part.column(0), letter_words))
+            yield part, index.matches(*words_of(part.column(at), letter_words))
 
 
 def contaminated_pairs(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str) -> DataFrame:
@@ -310,14 +311,15 @@ def decontaminate(docs: DataFrame, text: str, items: DataFrame, item_key: str, i
     """The rows of ``docs`` that match no item, unchanged: a narrow map per block of items."""
     spark = docs.sparkSession
     names, schema = docs.columns, docs.schema
+    at = names.index(text)
     for block in item_blocks(items, item_key, item_text):
         held = spark.sparkContext.broadcast(ItemIndex(block))
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for part, found in _batches(batches, held.value):
+            for part, found in _batches(batches, held.value, at):
                 clean = np.ones(part.num_rows, bool)
                 clean[[f[0] for f in found]] = False
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(clean)) for c in part.columns[1:]], names=names)
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(clean)) for c in part.columns], names=names)
 
-        docs = docs.select(docs[text].alias("__text"), *[docs[c] for c in names]).mapInArrow(run, schema)
+        docs = docs.mapInArrow(run, schema)
     return docs

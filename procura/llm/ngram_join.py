@@ -286,13 +286,14 @@ def _small(df: DataFrame) -> DataFrame:
 def _with_digest(docs: DataFrame, text: str, k: int) -> DataFrame:
     names = docs.columns
     fields = "".join(f"`{c}` {t}, " for c, t in docs.dtypes)
+    at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, n in slices(batch.column(0)):
+            for i, n in slices(batch.column(at)):
                 part = batch.slice(i, n)
-                values, first = _sets(part.column(0), k)
+                values, first = _sets(part.column(at), k)
                 sids = [digest(values[a:b].tobytes()) for a, b in zip(first[:-1], first[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(sids, pa.binary())], names=[*names, "__sid"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sids, pa.binary())], names=[*names, "__sid"])
 
-    return docs.select(docs[text].alias("__text"), *[docs[c] for c in names]).mapInArrow(run, f"{fields}`__sid` binary")
+    return docs.mapInArrow(run, f"{fields}`__sid` binary")

@@ -43,7 +43,7 @@ TOXIC = 0.7
 
 def op3_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    scored = toxicity.score(docs.select("doc_id", "text"), F.col("text"), toxicity_model(spark, docs, sf_dir))
+    scored = toxicity.score(docs.select("doc_id", "text"), "text", toxicity_model(spark, docs, sf_dir))
     held_out = F.coalesce(~learnable("doc_id"), F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"), "evidence")
 

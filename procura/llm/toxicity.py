@@ -263,24 +263,29 @@ _EVIDENCE = pa.list_(pa.struct([("id", pa.int64()), ("cosine", pa.float64())]))
 SHOWN = 3
 
 
-def score(df: DataFrame, text: Column, model: Model) -> DataFrame:
+def score(df: DataFrame, text: Column | str, model: Model) -> DataFrame:
     """``df`` with its toxicity ``score`` (0 to 1) and the nearest examples as ``evidence``: a narrow map.
 
-    Columns of those names in ``df`` are replaced.
+    Columns of those names in ``df`` are replaced. ``text`` as the name of a
+    column of ``df`` sends every text to Python once, an expression beside the
+    columns of ``df``. A null text scores as an empty one.
     """
     df = df.drop("score", "evidence")
     held = df.sparkSession.sparkContext.broadcast(model)  # bounded by EXAMPLES_PER_CLASS
     names = df.columns
     fields = "".join(f"`{c}` {t}, " for c, t in df.dtypes)
+    named = isinstance(text, str)
+    at = names.index(text) if named else len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = held.value
         for batch in batches:
-            for i, n in slices(batch.column(0)):
+            for i, n in slices(batch.column(at)):
                 part = batch.slice(i, n)
-                found = [fitted.score(*v) for v in fitted.vectors(part.column(0))]
+                found = [fitted.score(*v) for v in fitted.vectors(part.column(at))]
                 shown = [[{"id": int(e), "cosine": float(c)} for e, c in zip(ids[:SHOWN], cosine[:SHOWN], strict=True)] for _, ids, cosine in found]
                 made = [pa.array([f[0] for f in found], pa.float64()), pa.array(shown, _EVIDENCE)]
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], *made], names=[*names, "score", "evidence"])
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], *made], names=[*names, "score", "evidence"])
 
-    return df.select(F.coalesce(text, F.lit("")).alias("__text"), *names).mapInArrow(run, fields + SCHEMA)
+    source = df if named else df.select(*names, F.coalesce(text, F.lit("")).alias("__text"))
+    return source.mapInArrow(run, fields + SCHEMA)
