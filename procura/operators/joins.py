@@ -20,7 +20,7 @@ from __future__ import annotations
 import itertools
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
@@ -288,27 +288,45 @@ def dated_lookup(
     name: str = "dated lookup",
 ) -> DataFrame:
     """Per-row as-of lookup: the ``dim`` row for ``fact_key`` valid at the
-    fact row's own date ``fact_at`` (inclusive bounds).
-
-    Evaluated on the distinct (key, date) pairs of the fact side, joined to
-    the dimension on the key with the date range as residual (a hash join,
-    never a nested loop), guarded for more than one row, and joined back.
+    fact row's own date ``fact_at`` (inclusive bounds; dates or timestamps).
+
+    A merge by date: the opening and the closing of every version and the
+    distinct (key, date) pairs of the fact side are ordered within their key,
+    and running sums tell how many versions are open at a pair and, where it
+    is one, which. n versions and m days of a key cost (n + m) log (n + m)
+    instead of n * m comparisons. More than one open version raises if
+    ``strict``; otherwise the value of one of them is taken, found by the date
+    range for those pairs alone. A version with a NULL bound, or that ends
+    before it starts, is never valid; a NULL key or date finds nothing.
     """
     k, d = _uid("k"), _uid("d")
     probe = fact.select(F.col(fact_key).alias(k), F.col(fact_at).alias(d)).where(
         F.col(k).isNotNull() & F.col(d).isNotNull()
     ).distinct()
     vals = {o: _uid("v") for o in cols}
-    cnt = _uid("n")
+    cnt, which = _uid("n"), _uid("w")
     dim_sel = dim.select(
         F.col(dim_key).alias("__dk"), F.col(start).alias("__ds"), F.col(end).alias("__de"),
         *[F.col(s).alias(vals[o]) for o, s in cols.items()],
-    )
-    matched = (
-        probe.join(dim_sel, (probe[k] == dim_sel["__dk"]) & effective_on(probe[d], dim_sel["__ds"], dim_sel["__de"]), "inner")
-        .groupBy(k, d)
-        .agg(F.count(F.lit(1)).alias(cnt), *[F.any_value(vals[o]).alias(vals[o]) for o in cols])
-    )
+    ).where(F.col("__dk").isNotNull() & (F.col("__ds") <= F.col("__de")))
+    # versions of equal bounds are open together or not at all, so their order never shows
+    numbered = dim_sel.withColumn("__no", F.row_number().over(Window.partitionBy("__dk").orderBy("__ds", "__de")).cast("bigint"))
+
+    def mark(at: Column, turn: int, open_: int, no: Column) -> Column:
+        return F.struct(at.alias(d), F.lit(turn).alias("__turn"), F.lit(open_).cast("bigint").alias("__open"), no.alias("__no"))
+
+    marks = numbered.select(F.col("__dk").alias(k), F.explode(F.array(
+        mark(F.col("__ds"), 0, 1, F.col("__no")), mark(F.col("__de"), 2, -1, -F.col("__no")))).alias("__m")).select(k, "__m.*")
+    days = probe.select(k, d, F.lit(1).alias("__turn"), F.lit(0).cast("bigint").alias("__open"), F.lit(0).cast("bigint").alias("__no"))
+    so_far = Window.partitionBy(k).orderBy(d, "__turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = marks.unionByName(days).select(k, d, "__turn", F.sum("__open").over(so_far).alias(cnt), F.sum("__no").over(so_far).alias(which))
+    placed = placed.where((F.col("__turn") == 1) & (F.col(cnt) > 0)).drop("__turn")
+    version = numbered.select("__dk", F.col("__no").alias("__version"), *vals.values())
+    single = placed if strict else placed.where(F.col(cnt) == 1)
+    matched = single.join(version, (F.col(k) == F.col("__dk")) & (F.col(which) == F.col("__version")), "left").select(k, d, cnt, *vals.values())
+    if not strict:
+        several = placed.where(F.col(cnt) > 1).join(dim_sel, (F.col(k) == F.col("__dk")) & effective_on(d, "__ds", "__de"))
+        matched = matched.unionByName(several.groupBy(k, d, cnt).agg(*[F.any_value(v).alias(v) for v in vals.values()]))
     joined = keyed_join(fact, matched, [fact_key, fact_at], [k, d], "left")
     outs = [(_guard(F.col(vals[o]), cnt, name) if strict else F.col(vals[o])).alias(o) for o in cols]
     return joined.select(*fact.columns, *outs)

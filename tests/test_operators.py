@@ -4,6 +4,7 @@ edges named in SURVEY §2 (D6–D17, E1–E6, F1, G1)."""
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -235,6 +236,41 @@ def test_dated_lookup_per_row_and_strict(spark):
         dated_lookup(fact, overlap, "u", "uid", "d", "s", "e", {"name": "name"}).collect()
 
 
+def test_dated_lookup_equals_brute_force(spark):
+    day = lambda n: dt.datetime(2000, 1, 1) + dt.timedelta(days=n)
+    rnd = random.Random(7)
+    versions = [(u, rnd.randrange(60), rnd.randrange(60), f"{u}-{i}") for u in range(12) for i in range(rnd.randrange(5))]
+    versions += [(20, 0, 50, "long"), (20, 10, 10, "one day"), (21, 5, 9, "same"), (21, 5, 9, "same again"), (None, 0, 60, "nobody"), (22, None, 9, "no start"), (22, 0, None, "no end")]
+    facts = [(i, rnd.choice([*range(12), 20, 21, 22, 23, None]), rnd.choice([*range(-1, 61), None])) for i in range(400)]
+    facts += [(1000, 20, 9), (1001, 20, 10), (1002, 20, 11), (1003, 21, 4), (1004, 21, 5), (1005, 21, 9), (1006, 21, 10)]
+    as_day = lambda n: None if n is None else day(n)
+    dim = spark.createDataFrame([(u, as_day(s), as_day(e), v) for u, s, e, v in versions], "uid int, s timestamp_ntz, e timestamp_ntz, name string")
+    fact = spark.createDataFrame([(i, u, as_day(n)) for i, u, n in facts], "id int, u int, d timestamp_ntz")
+    valid = {i: [v for w, s, e, v in versions if None not in (u, w, n, s, e) and u == w and s <= n <= e] for i, u, n in facts}
+    assert {len(v) for v in valid.values()} >= {0, 1, 2}
+    lax = {r["id"]: r["name"] for r in dated_lookup(fact, dim, "u", "uid", "d", "s", "e", {"name": "name"}, strict=False).collect()}
+    assert set(lax) == set(valid) and all(lax[i] in v if v else lax[i] is None for i, v in valid.items())
+    clear = fact.where(F.col("id").isin([i for i, v in valid.items() if len(v) < 2]))
+    got = {r["id"]: r["name"] for r in dated_lookup(clear, dim, "u", "uid", "d", "s", "e", {"name": "name"}).collect()}
+    assert got == {i: (v[0] if v else None) for i, v in valid.items() if len(v) < 2}
+    for i in (1001, 1004, 1005):
+        with pytest.raises(Exception, match="more than one row"):
+            dated_lookup(fact.where(F.col("id") == i), dim, "u", "uid", "d", "s", "e", {"name": "name"}).collect()
+    assert dated_lookup(fact, dim.limit(0), "u", "uid", "d", "s", "e", {"name": "name"}).where("name is not null").count() == 0
+    assert dated_lookup(fact.limit(0), dim, "u", "uid", "d", "s", "e", {"name": "name"}).count() == 0
+
+
+def test_dated_lookup_compares_no_version_with_all_days(spark):
+    # one user with 20,000 versions and 20,000 days: 4e8 pairs if every version met every day
+    base = F.lit(dt.datetime(1900, 1, 1))
+    n = spark.range(20000).select(F.lit(1).alias("u"), (base + F.make_dt_interval(F.col("id"))).alias("d"), "id")
+    dim = n.select(F.col("u").alias("uid"), F.col("d").alias("s"), F.col("d").alias("e"), F.col("id").cast("string").alias("name"))
+    out = dated_lookup(n, dim, "u", "uid", "d", "s", "e", {"name": "name"})
+    assert out.where(F.col("name") == F.col("id").cast("string")).count() == 20000
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Join" in line and "<=" in line]
+
+
 def test_last_action_rows_max_over_all_types_and_ties(spark):
     h = spark.createDataFrame(
         [(1, "REQ", 1, "x"), (1, "REQ", 3, None), (1, "REL", 3, None), (2, "REQ", 2, None), (2, "REL", 5, "y")],
