@@ -208,6 +208,18 @@ OPERATOR_SQL["block_inspection_pending"] = with_helpers() + """
 SELECT transaction_id, mails AS pending_with FROM inspection_waiting
 """
 
+OPERATOR_SQL["block_inspection_corrected"] = with_helpers() + """
+SELECT r.transaction_id, g.mails AS pending_with
+FROM rcv_transactions r
+JOIN rcv_shipment_lines s USING (shipment_line_id)
+JOIN items i ON i.inventory_item_id = s.item_id AND i.organization_id = r.organization_id AND i.inspection_required_flag = 'Y'
+JOIN inspectors g ON g.grp = upper(i.attribute1)
+LEFT JOIN children c ON c.transaction_id = r.transaction_id
+SEMI JOIN rcv_shipment_headers h ON h.shipment_header_id = r.shipment_header_id
+WHERE r.routing_header_id = '2' AND r.transaction_type = 'RECEIVE'
+  AND c.closed IS NOT TRUE AND r.quantity > ifnull(c.inspected, 0)
+"""
+
 OPERATOR_SQL["drill_down"] = with_helpers() + f"""
 SELECT * FROM ({report_sql_body('BLANKET', AS_OF)}
 UNION

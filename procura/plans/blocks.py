@@ -294,7 +294,7 @@ def release_block(t: Tables, as_of: str) -> DataFrame:
                          {"po_pending_name": "k4_name", "po_pending_empno": "k4_empno"}, name="release approval pending with")
 
 
-def inspection_pending(t: Tables, as_of: str, inspection_lookup: str = INSPECTION_LOOKUP) -> DataFrame:
+def inspection_pending(t: Tables, as_of: str, inspection_lookup: str = INSPECTION_LOOKUP, corrected: bool = False) -> DataFrame:
     """K6: sorted e-mails of the people who can inspect a RECEIVE transaction
     still awaiting inspection; one row per transaction id.
 
@@ -304,6 +304,10 @@ def inspection_pending(t: Tables, as_of: str, inspection_lookup: str = INSPECTIO
     lookup rows never multiply) → active staff holding a position with that
     tag. Duplicate e-mails from one person in two matching positions stay.
     Receipts never meet staff rows: the list is aggregated per group first.
+
+    As written, the receipt's PO line id is looked up among requisition line
+    ids, which are numbers of another document. ``corrected`` leaves that link
+    out: need and group of an inspection come from the item alone.
     """
     rt = t["rcv_transactions"]
     at = as_of_lit(as_of)
@@ -312,16 +316,19 @@ def inspection_pending(t: Tables, as_of: str, inspection_lookup: str = INSPECTIO
     rcv = rcv.join(pfx(t["rcv_shipment_lines"].select("shipment_line_id", "item_id"), "sl"), F.col("r_shipment_line_id") == F.col("sl_shipment_line_id"))
     rcv = keyed_join(rcv, pfx(t["items"].select("inventory_item_id", "organization_id", "attribute1", "inspection_required_flag"), "mi"),
                      ["sl_item_id", "r_organization_id"], ["mi_inventory_item_id", "mi_organization_id"], "left")
-    # requisition line joined on the receipt's PO line id, as in the source
-    rcv = keyed_join(rcv, pfx(t["req_lines"].select("requisition_line_id", "attribute2"), "rl"), "r_po_line_id", "rl_requisition_line_id", "left")
-    rcv = rcv.where((F.col("mi_inspection_required_flag") == "Y") | F.col("rl_attribute2").isNotNull())
+    needed, group = F.col("mi_inspection_required_flag") == "Y", F.col("mi_attribute1")
+    if not corrected:
+        # requisition line joined on the receipt's PO line id, as in the source
+        rcv = keyed_join(rcv, pfx(t["req_lines"].select("requisition_line_id", "attribute2"), "rl"), "r_po_line_id", "rl_requisition_line_id", "left")
+        needed, group = needed | F.col("rl_attribute2").isNotNull(), F.coalesce(group, F.col("rl_attribute2"))
+    rcv = rcv.where(needed)
     inspected = child_sum(rt, "parent_transaction_id", "quantity", F.col("transaction_type").isin(*INSPECTION_RESULTS), "insp_qty")
     rcv = attach(rcv, inspected.withColumnRenamed("parent_transaction_id", "insp_parent"), "r_transaction_id", "insp_parent")
     rcv = rcv.where(F.col("r_quantity") > F.coalesce(F.col("insp_qty"), F.lit(0)))
     closers = rt.where(F.col("transaction_type").isin(*INSPECTION_CLOSERS)).select(F.col("parent_transaction_id").alias("cl_parent"))
     rcv = anti_exists(rcv, closers, "r_transaction_id", "cl_parent")
     rcv = rcv.select(F.col("r_transaction_id").alias("k6_transaction_id"),
-                     F.upper(F.coalesce(F.col("mi_attribute1"), F.col("rl_attribute2"))).alias("k6_grp"))
+                     F.upper(group).alias("k6_grp"))
 
     lv = t["lookup_values"]
     tags = lv.where(
@@ -345,7 +352,8 @@ def inspection_pending(t: Tables, as_of: str, inspection_lookup: str = INSPECTIO
 
 
 def receipt_chain(t: Tables, as_of: str, kind: str = STANDARD, legacy: bool = False,
-                  excluded_srns: Sequence[int] = (), inspection_lookup: str = INSPECTION_LOOKUP) -> DataFrame:
+                  excluded_srns: Sequence[int] = (), inspection_lookup: str = INSPECTION_LOOKUP,
+                  corrected: bool = False) -> DataFrame:
     """K9 source at transaction grain: receipt transaction ⟕ shipment line
     (with "Received By") ⟕ shipment header, plus inspection pending (K6,
     standard) or the service note with its verification note and line
@@ -368,7 +376,7 @@ def receipt_chain(t: Tables, as_of: str, kind: str = STANDARD, legacy: bool = Fa
     rt = keyed_join(rt, pfx(rsl, "rsl"), "rt_shipment_line_id", "rsl_shipment_line_id", "left")
     rt = keyed_join(rt, pfx(t["rcv_shipment_headers"], "rsh"), "rsl_shipment_header_id", "rsh_shipment_header_id", "left")
     if kind == STANDARD:
-        rt = attach(rt, inspection_pending(t, as_of, inspection_lookup), "rt_transaction_id", "k6_transaction_id")
+        rt = attach(rt, inspection_pending(t, as_of, inspection_lookup, corrected), "rt_transaction_id", "k6_transaction_id")
     else:
         rt = rt.withColumn("rsh_attr1_num", num_key("rsh_attribute1"))
         rt = keyed_join(rt, srn_block(t, excluded_srns), ["rt_po_header_id", "rsh_attr1_num", "rt_po_release_id"],
@@ -491,7 +499,7 @@ def _asks(kind: str) -> Column:
 
 
 def po_block(t: Tables, as_of: str, kind: str, legacy: bool = False, excluded_srns: Sequence[int] = (),
-             inspection_lookup: str = INSPECTION_LOOKUP, qs_lookup: str = QS_LOOKUP) -> DataFrame:
+             inspection_lookup: str = INSPECTION_LOOKUP, qs_lookup: str = QS_LOOKUP, corrected: bool = False) -> DataFrame:
     """K5 + K9–K16 at order grain: location [⟕ release] ⋈ line ⋈ header,
     then ⟕ receipt chain and ⟕ distribution chain (standard: every
     distribution of the location; blanket: the receipt's distribution, or
@@ -520,7 +528,7 @@ def po_block(t: Tables, as_of: str, kind: str, legacy: bool = False, excluded_sr
         asked["rt_po_distribution_id"], also = "r_dist", {"rt_po_distribution_id": "pda_asked"}
         pda = by_name_and_all(pda, "pda_po_distribution_id", "pda_asked")
         pda = pda.join(wanted, (F.col("pda_line_location_id") == F.col("k_loc")) & F.col("pda_asked").eqNullSafe(F.col("r_dist")), "left_semi")
-    receipts = receipt_chain(t, as_of, kind, legacy, excluded_srns, inspection_lookup)
+    receipts = receipt_chain(t, as_of, kind, legacy, excluded_srns, inspection_lookup, corrected)
     po = left_join_splittable(po, receipts, "plla_line_location_id", "rt_po_line_location_id", _unreceived(t, kind), told, rt_cond)
     without = wanted.join(_raw_distributions(t, kind), _asks(kind), "left_anti")
     return left_join_splittable(po, distribution_chain(t, kind, pda), "plla_line_location_id", "pda_line_location_id", without, asked, also=also)

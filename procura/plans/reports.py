@@ -217,10 +217,11 @@ def report_blanket(t: Tables, as_of: str = DEFAULT_AS_OF, legacy: bool = False,
 
 
 def report_standard(t: Tables, as_of: str = DEFAULT_AS_OF, legacy: bool = False, dedupe_rfq: bool = False,
-                    inspection_lookup: str = INSPECTION_LOOKUP) -> DataFrame:
+                    inspection_lookup: str = INSPECTION_LOOKUP, corrected: bool = False) -> DataFrame:
     """Standard orders ⟗ unsourced requisitions ⟗ RFQs (keyed on the
-    requisition side)."""
-    po = _narrow_po(po_block(t, as_of, STANDARD, legacy, inspection_lookup=inspection_lookup), STANDARD, legacy)
+    requisition side). ``corrected`` takes "Inspection Pending With" from the
+    item alone (see ``blocks.inspection_pending``)."""
+    po = _narrow_po(po_block(t, as_of, STANDARD, legacy, inspection_lookup=inspection_lookup, corrected=corrected), STANDARD, legacy)
     pr = pr_block(t, as_of, sourced=False)
     rfq = rfq_block(t, as_of, legacy=legacy, dedupe_rfq=dedupe_rfq)
     chained = lineage_chain(po, pr, rfq, _PO_KEY, "DISTRIBUTION_ID", "ad_distribution_id",
@@ -230,9 +231,9 @@ def report_standard(t: Tables, as_of: str = DEFAULT_AS_OF, legacy: bool = False,
 
 
 def report_union(t: Tables, as_of: str = DEFAULT_AS_OF, variant: str = "final", excluded_srns: Sequence[int] = (),
-                 inspection_lookup: str = INSPECTION_LOOKUP, qs_lookup: str = QS_LOOKUP) -> DataFrame:
-    """Blanket UNION standard (distinct over all columns)."""
+                 inspection_lookup: str = INSPECTION_LOOKUP, qs_lookup: str = QS_LOOKUP, corrected: bool = False) -> DataFrame:
+    """Blanket UNION standard (distinct over all columns). ``corrected`` as in ``report_standard``."""
     legacy = variant == "legacy"
     schema = LEGACY_SCHEMA if legacy else REPORT_SCHEMA
     blanket = report_blanket(t, as_of, legacy, excluded_srns, qs_lookup)
-    return union_distinct(blanket, report_standard(t, as_of, legacy, inspection_lookup=inspection_lookup), schema)
+    return union_distinct(blanket, report_standard(t, as_of, legacy, inspection_lookup=inspection_lookup, corrected=corrected), schema)

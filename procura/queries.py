@@ -322,6 +322,12 @@ def block_pr_pending(spark, sf):
     return pr_pending_with(t, AS_OF).select(F.col("k3_pr_number").alias("pr_number"), F.col("k3_name").alias("pending_with"))
 
 
+def block_inspection_corrected(spark, sf):
+    """K6 without the link from PO line ids to requisition line ids (D20, corrected)."""
+    pending = inspection_pending(derived_tables(spark, sf), AS_OF, corrected=True)
+    return pending.select(F.col("k6_transaction_id").alias("transaction_id"), F.col("k6_pending_with").alias("pending_with"))
+
+
 def block_inspection_pending(spark, sf):
     """K6 on the derived P2P tables."""
     t = derived_tables(spark, sf)
@@ -418,6 +424,7 @@ OPERATOR_QUERIES: dict[str, Query] = {
     "latest_filter_noop": latest_filter_noop,
     "union_distinct_padded": union_distinct_padded,
     "block_pr_pending": block_pr_pending,
+    "block_inspection_corrected": block_inspection_corrected,
     "block_inspection_pending": block_inspection_pending,
     "block_requisitions": block_requisitions,
     "block_rfq": block_rfq,
