@@ -1,12 +1,12 @@
 """Event-history aggregates (decorrelated scalar subqueries).
 
-All are ``groupBy`` aggregations with map-side partial aggregation, so a hot
-object id collapses to one partial row per task before the shuffle.
+All reduce a hot object id before the shuffle: ``groupBy`` aggregations to one
+partial row per task, the last-action rows to each task's own last rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -31,12 +31,15 @@ def last_action_rows(history: DataFrame, key: str, seq: str) -> DataFrame:
     """Rows whose ``seq`` equals the maximum ``seq`` of their ``key``.
 
     The maximum is taken over **all** rows of the key (every object type that
-    shares the id); callers filter by type afterwards. Ties are all kept.
-    Written as aggregate + equi-join back (not a window) so a hot key is
-    pre-aggregated map-side and the join back can be skew-split by AQE.
+    shares the id); callers filter by type afterwards. Ties are all kept; rows
+    without a key or a ``seq`` never match. Written as a filter on a rank, so
+    the history is scanned and shuffled once: before the shuffle each task
+    keeps only the rows that are last among its own, and a hot key is reduced
+    to its ties there.
     """
-    mx = history.groupBy(F.col(key).alias("__lk")).agg(F.max(seq).alias("__lmax"))
-    return history.join(mx, (history[key] == mx["__lk"]) & (history[seq] == mx["__lmax"]), "inner").drop("__lk", "__lmax")
+    last = Window.partitionBy(key).orderBy(F.col(seq).desc())
+    known = history.where(F.col(key).isNotNull() & F.col(seq).isNotNull())
+    return known.withColumn("__rank", F.rank().over(last)).where("__rank = 1").drop("__rank")
 
 
 def child_sum(children: DataFrame, parent: str, qty: str, where: Column | None = None, out: str = "child_qty") -> DataFrame:

@@ -281,6 +281,26 @@ def test_last_action_rows_max_over_all_types_and_ties(spark):
     assert rows(last.where("typ = 'REQ' and act is null"), "obj") == [(1,)]
 
 
+def test_last_action_rows_reduce_a_hot_key_before_the_one_shuffle(spark, tmp_path):
+    # one id holds a third of the rows, and neither null ids nor null numbers have a last action
+    h = spark.range(0, 30_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 100 == 1, None).otherwise(F.col("id") % 5000).alias("obj"),
+        F.when(F.col("id") % 50 == 2, None).otherwise(F.col("id") % 97).cast("int").alias("seq"), F.col("id").alias("row"))
+    h.write.parquet(f"{tmp_path}/h")
+    h = spark.read.parquet(f"{tmp_path}/h")
+    last = last_action_rows(h, "obj", "seq")
+    best: dict = {}
+    for r in h.collect():
+        if r["obj"] is not None and r["seq"] is not None and r["seq"] >= best.get(r["obj"], (-1, []))[0]:
+            held = best.get(r["obj"], (-1, []))
+            best[r["obj"]] = (r["seq"], (held[1] if held[0] == r["seq"] else []) + [r["row"]])
+    assert rows(last, "row") == sorted((i,) for _, ids in best.values() for i in ids) and len(best[7][1]) > 50
+    plan = last_action_rows(h, "obj", "seq")._jdf.queryExecution().executedPlan().toString()
+    # the limit stands on both sides of the only exchange, over the only scan
+    assert plan.count("WindowGroupLimit") == 2 and plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 1
+    assert plan.index("Exchange hashpartitioning") < plan.rindex("WindowGroupLimit") < plan.index("FileScan")
+
+
 def test_first_event_and_child_sum(spark):
     h = spark.createDataFrame([(1, "APPROVE", dt.datetime(2000, 1, 5)), (1, "APPROVE", dt.datetime(2000, 1, 2)), (1, "SUBMIT", dt.datetime(1999, 1, 1))],
                               "obj int, act string, d timestamp_ntz")

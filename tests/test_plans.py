@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from procura.operators import drill
 from procura.plans import drilldown
-from procura.plans.blocks import distribution_chain, inspection_pending
+from procura.plans.blocks import distribution_chain, inspection_pending, po_pending_with, pr_pending_with
 from procura.plans.drilldown import narrowed
 from procura.plans.reports import report_blanket, report_standard, report_union
 from procura.sources.derived import derived_tables
@@ -111,5 +111,16 @@ def test_no_report_join_has_a_residual_or_on_distributions(parquet_tables):
     assert not joins
 
 
+@pytest.mark.parametrize("kind", ["STANDARD", "BLANKET"])
+def test_pending_lookups_scan_the_action_history_once(spark, parquet_tables, kind):
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for lookup in (pr_pending_with(parquet_tables, AS_OF), po_pending_with(parquet_tables, AS_OF, kind)):
+            assert sum("FileScan" in ln and "po_action_history" in ln for ln in _plan(lookup).splitlines()) == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
 def test_all_tables_known():
     assert len(TABLES) == 38
