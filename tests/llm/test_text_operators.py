@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -168,19 +170,99 @@ def test_multi_index_finds_every_fingerprint_within_the_radius():
     rnd = np.random.default_rng(1)
     prints = rnd.integers(0, 1 << 63, 40).astype(np.uint64)
     index = decontamination.ItemIndex([])
-    tables = []
-    for b in range(decontamination.BLOCKS):
-        values = (prints >> np.uint64(16 * b)).astype(np.int64) & 0xFFFF
-        keys = np.concatenate([decontamination._near(int(v)) for v in values])
-        order = np.argsort(keys, kind="stable")
-        tables.append((np.searchsorted(keys[order], np.arange(65537)), np.repeat(np.arange(40), len(keys) // 40)[order]))
+    table = decontamination._table(prints)
     for off in range(decontamination.RADIUS + 1):
         bits = rnd.choice(64, off, replace=False)
         found = prints[:1] ^ np.bitwise_or.reduce(np.append(np.uint64(1) << bits.astype(np.uint64), np.uint64(0)))
-        hits = {int(e) for _, entries in index._look_up(found, prints, tables) for e in entries}
+        hits = {int(e) for _, entries in index._look_up(found, prints, table) for e in entries}
         assert 0 in hits
 
 
+def best_passages(text, items, k=5):
+    """{item: share} of the best passage of the item's size, by brute force over plain tuples."""
+    w = text.lower().split()
+    grams = [[tuple(q[i : i + k]) for i in range(max(1, len(q) - k + 1))] for q in (t.split() for t in items)]
+    holders = Counter(g for q in grams for g in set(q))
+    out, all_grams = {}, {tuple(w[a : a + k]) for a in range(max(1, len(w) - k + 1))}
+    for i, q in enumerate(grams):
+        if not all_grams & set(q):
+            continue
+        weight = {g: math.log1p(len(items) / holders[g]) for g in q}
+        want, size = Counter(q), len(items[i].split())
+        shares = []
+        for a in range(max(1, len(w) - size + 1)):
+            got = Counter(tuple(w[b : b + k]) for b in range(a, max(a + 1, min(a + size, len(w)) - k + 1)))
+            shares.append(sum(min(n, got[g]) * weight[g] for g, n in want.items()) / sum(n * weight[g] for g, n in want.items()))
+        out[i] = max(shares)
+    return out
+
+
+def test_decontamination_windows_find_scattered_edits_as_brute_force_does():
+    rnd = random.Random(12)
+    shared = [f"s{k}" for k in range(12)]  # a template that many items begin with
+    items = []
+    for i in range(90):
+        n = rnd.randint(16, 160)
+        items.append(" ".join((shared if i % 3 == 0 else []) + [f"w{rnd.randrange(4000)}" for _ in range(n)]))
+    texts = []
+    for i, t in enumerate(items * 3):
+        w = t.split()
+        for _ in range(rnd.randint(0, 1 + len(w) // 30)):
+            at = rnd.randrange(len(w))
+            w[at : at + rnd.randint(0, 2)] = [f"x{rnd.randrange(99)}"] * rnd.randint(0, 2)
+        texts.append(" ".join([f"t{rnd.randrange(999)}" for _ in range(rnd.randint(0, 80))] + w + ["end"] * rnd.randint(0, 9)))
+    index = decontamination.ItemIndex(list(enumerate(items)))
+    got = {(t, i): s for t, i, s, _ in index.matches(*words_of(pa.array(texts), letter_words))}
+    want = {(t, i): s for t, text in enumerate(texts) for i, s in best_passages(text, items).items() if s >= 0.8}
+    assert len(want) > 100 and set(got) <= set(want) and len(got) >= 0.99 * len(want)
+    assert all(abs(want[p] - s) < 0.1 for p, s in got.items()) and sum(abs(want[p] - s) < 1e-9 for p, s in got.items()) >= 0.99 * len(got)
+
+
+def test_decontamination_short_items_match_inside_long_texts():
+    items = [(0, "alpha beta gamma"), (1, "alpha"), (2, "beta alpha"), (3, "a b c d"), (4, "a b c d"), (5, "one two three four five")]
+    texts = ["x y Alpha, beta gamma z z z z z", "alpha beta gamma", "gamma beta alpha", "a b c d", "p q r s a b c d t", "a b c", "one two three four", None, "gamma beta"]
+    got = decontamination.ItemIndex(items).matches(*words_of(pa.array(texts), letter_words))
+    assert {(t, i): w for t, i, _, w in got} == {(0, 0): 2, (0, 1): 2, (1, 0): 0, (1, 1): 0, (2, 1): 2, (2, 2): 1, (3, 3): 0, (3, 4): 0, (4, 3): 4, (4, 4): 4}
+    assert all(s == 1.0 for _, _, s, _ in got)
+
+
+def test_decontamination_long_item_and_very_long_text_of_few_words():
+    rnd = random.Random(4)
+    item = " ".join(f"w{rnd.randrange(9000)}" for _ in range(6000))
+    edited = item.split()
+    edited[700:900], edited[4000:4100] = ["x"] * 200, []
+    texts = ["lead in " + " ".join(edited) + " tail", "again and again " * 200_000, item[: len(item) // 2]]
+    index = decontamination.ItemIndex([(0, item), (1, "again and again again and again again and again")])
+    got = index.matches(*words_of(pa.array(texts), letter_words))
+    assert [(t, i, w) for t, i, _, w in got] == [(0, 0, 0), (1, 1, 0)] and 0.9 < got[0][2] < 1
+
+
+@pytest.mark.parametrize("limits", [(6, 1 << 18), (1024, 300), (50, 90)])
+def test_decontamination_does_not_depend_on_the_blocks(spark, monkeypatch, limits):
+    rnd = random.Random(5)
+    shared = " ".join(f"s{k}" for k in range(14))
+    items = [(i, f"{shared} " * (i % 2) + " ".join(f"w{rnd.randrange(300)}" for _ in range(rnd.choice([2, 4, 9, 16, 25])))) for i in range(60)] + [(60, None), (61, ""), (3, "equal id " + shared)]
+    texts = []
+    for i, (_, t) in enumerate(items[:60]):
+        w = t.split()
+        w[len(w) - max(0, (len(w) - 4) // (4 + i % 3)) :] = ["edited"]
+        texts.append(" ".join(["before"] * (i % 5) + w + ["after"] * 30))
+    docs, table = frame(spark, [*texts, shared, None]), spark.createDataFrame(items, "item_id long, text string")
+
+    def found():
+        return sorted(tuple(r) for r in decontamination.contaminated_pairs(docs, "doc_id", "text", table, "item_id", "text").withColumn("similarity", F.round("similarity", 9)).collect())
+
+    whole = found()
+    monkeypatch.setattr(decontamination, "ITEMS_PER_BLOCK", limits[0])
+    monkeypatch.setattr(decontamination, "WORDS_PER_BLOCK", limits[1])
+    blocks = list(decontamination.item_blocks(table, "item_id", "text"))
+    assert len(blocks) > 1 and sum(len(b.ids) for b in blocks) == 62 and max(len(b.ids) for b in blocks) <= limits[0]
+    assert all(b.sizes.sum() <= limits[1] + b.sizes.max() for b in blocks)
+    assert found() == whole and 20 < len(whole)
+    kept = decontamination.decontaminate(docs, "text", table, "item_id", "text")
+    assert {r["doc_id"] for r in kept.collect()} == set(range(62)) - {r[0] for r in whole}
+
+
 def test_decontamination_empty_sides_and_blocks(spark, monkeypatch):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = frame(spark, ["a b c d e f g h", None], [None, 2])
