@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import struct
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -92,6 +93,59 @@ def test_odd_pages(page, want):
     assert html_text.main_text(page) == want
 
 
+TEXT = "A paragraph of the story, with commas and a full stop. "
+
+
+@pytest.mark.parametrize("page,want", [
+    ('<article class="post comments-open"><p>Some text, here.</p></article>', "Some text, here."),
+    ('<main id="main-no-sidebar"><h1>T</h1><p>Some text, here.</p></main>', "T\nSome text, here."),
+    (f'<div class="content has-sidebar"><h2 id="related-work">Related work</h2><p>{TEXT * 3}</p></div>', f"Related work\n{(TEXT * 3).strip()}"),
+    ("<body><h1>A lone headline</h1>" + f"<p>{TEXT * 6}</p>" * 10, "\n".join(["A lone headline", *[(TEXT * 6).strip()] * 10])),
+    (f"<form><div><p>{TEXT * 9}</p></div><button>Go</button></form>", (TEXT * 9).strip()),
+    (f"<article><p>{TEXT}</p><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p><section id='search-algorithms'><p>Search.</p></section><code class='comment'># hi</code></article>", f"{TEXT.strip()}\nLet x=1 be.\nSearch.\n# hi"),
+    (f"<article><p>{TEXT * 4}</p><article class='comment'><p>{TEXT * 2}</p></article></article>", (TEXT * 4).strip()),
+    (f"<div id='comments'><p>{TEXT * 8}</p></div><p>x</p>", (TEXT * 8).strip()),  # nearly all text is named so: no furniture
+    (f"<div class='site-menu'>{TEXT * 2}</div><div><p>{TEXT * 4}</p><ul><li>a</li><li>b</li></ul><p>{TEXT * 4}</p></div><div class='cookie-notice'>{TEXT}</div>", f"{(TEXT * 4).strip()}\na\nb\n{(TEXT * 4).strip()}"),
+])
+def test_names_and_short_blocks_drop_no_content(page, want):
+    assert html_text.main_text(page) == want
+
+
+def test_path_scores_equal_ratios_by_definition():
+    rnd = random.Random(6)
+    page = "".join(f"<{rnd.choice(['p', 'div', 'ul><li', 'h2'])}>{'word, ' * rnd.randint(1, 9)}<b>end</b>. " for _ in range(60))
+    blocks = html_text.blocks_of(page)
+    by_path = {}
+    for b in blocks:
+        by_path.setdefault(b.path, []).append(b.text)
+
+    def ratio(texts):
+        sizes = [len(t) for t in texts]
+        mean = sum(sizes) / len(sizes)
+        return mean * (1 + (sum((x - mean) ** 2 for x in sizes) / len(sizes)) ** 0.5) * (1 + sum(t.count(",") + t.count(".") for t in texts) / len(texts))
+
+    raw = [ratio(by_path[b.path]) for b in blocks]
+    smooth = [(raw[max(i - 1, 0)] + 2 * raw[i] + raw[min(i + 1, len(raw) - 1)]) / 4 for i in range(len(raw))]
+    assert len(by_path) > 5 and html_text.path_scores(blocks) == pytest.approx([(r * s) ** 0.5 for r, s in zip(raw, smooth, strict=True)])
+
+
+def test_without_ratios_pages_without_telling_names_change(monkeypatch):
+    links = "".join(f"<div><span>Item {i}</span></div>" for i in range(12))
+    page = f"<html><body><div>{links}</div><div>{f'<p>{TEXT * 3}</p>' * 4}</div></body></html>"
+    text = html_text.main_text(page)
+    assert "Item" not in text and text.count("story") == 12
+    monkeypatch.setattr(html_text, "path_scores", lambda blocks: [b.weight for b in blocks])
+    assert html_text.main_text(page) != text
+
+
+def test_deep_nesting_takes_linear_memory_and_time():
+    tracemalloc.start()
+    for page in ("<div>" * 50_000 + "deep</q>" + "</i>" * 50_000, "<ul>" * 50_000 + "<p>y" * 20_000, "<div><p>" * 50_000 + "z"):
+        assert html_text.main_text(page)[:1] in "dyz"
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+
+
 def test_extract_rows(spark):
     df = spark.createDataFrame([(1, None, "u", "t"), (1, "<article>caf&eacute;</article>", None, "t"), (None, "x" * 200000, "u", "t")], "page_id long, html string, url string, text string")
     got = html_text.extract(df, "html", ["page_id", "url"])
