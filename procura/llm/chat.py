@@ -14,8 +14,10 @@ Only the content of assistant turns is under the loss mask.
 Defined results: null text, role or reference is empty; a part of unknown
 kind is an error; turns of equal number are ordered by role, then content; a
 null conversation id is an id of its own. Formatting is a narrow map.
-Reading back streams each conversation's turns in order through a running
-digest, so a conversation of any length needs the memory of one Arrow batch.
+Reading back takes a conversation as one text, in pieces of any length, finds
+its turns by the control strings alone, and streams them through a running
+digest: text that is no sequence of whole turns is an error. A conversation of
+any length needs the memory of its longest turn, a few bytes a character.
 """
 
 from __future__ import annotations
@@ -37,18 +39,61 @@ KINDS = ("image", "audio", "document")
 UNITS_PER_TOKEN = {"image": 28 * 28, "audio": 40, "document": 4}
 
 PARTS = "array<struct<kind: string, text: string, ref: string, size: bigint>>"
-_CONTROL = re.compile(r"\\|#(?=##)|(?<=#)#|<(?=/turn>|(?:" + "|".join(KINDS) + r"):)")
+_TAGS = ("</turn>", *(f"<{kind}:" for kind in KINDS))
+_HASHES = re.compile("##+")
 _ROLE_CONTROL = re.compile(r"[\\:#<\n]")
-_ESCAPED = re.compile(r"\\(.)", re.S)
-_TURN = re.compile(re.escape(OPEN) + r"((?:\\.|[^\\:])*)" + re.escape(ROLE_END) + r"((?:\\.|[^\\])*?)" + re.escape(CLOSE), re.S)
 
 
 def escape(text: str) -> str:
-    return _CONTROL.sub(r"\\\g<0>", text)
+    """The text with a backslash before each backslash, each "#" of "###" or after another, and each "<" of a control string."""
+    text = text.replace("\\", "\\\\")
+    if "##" in text:
+        text = _HASHES.sub(lambda run: ("#" if len(run[0]) == 2 else "\\#") + "\\#" * (len(run[0]) - 1), text)
+    for tag in _TAGS:
+        text = text.replace(tag, "\\" + tag)
+    return text
 
 
 def unescape(text: str) -> str:
-    return _ESCAPED.sub(r"\1", text)
+    # of a run of backslashes the pairs come first, one left over belongs to what follows
+    return "\\".join([part.replace("\\", "") for part in text.split("\\\\")]) if "\\" in text else text
+
+
+def _find(text: str, control: str, at: int) -> int:
+    """Where the control string next stands unescaped, or -1."""
+    while (at := text.find(control, at)) >= 0:
+        before = at
+        while before and text[before - 1] == "\\":
+            before -= 1
+        if (at - before) % 2 == 0:
+            break
+        at += 1
+    return at
+
+
+class TurnReader:
+    """Reads turns from the text of a conversation that comes in pieces; their ends need not be those of turns."""
+
+    def __init__(self):
+        self.rest = ""
+
+    def feed(self, piece: str) -> Iterator[tuple[str, str]]:
+        """(role, content) of the turns that are whole by now."""
+        text, at = self.rest + piece if self.rest else piece, 0
+        while (end := _find(text, CLOSE, at)) >= 0:
+            colon = _find(text, ROLE_END, at)
+            if not text.startswith(OPEN, at) or not at < colon < end:
+                raise ValueError("not a formatted turn")
+            content = text[colon + len(ROLE_END) : end]
+            if _find(content, OPEN, 0) >= 0:
+                raise ValueError("a turn that opens inside a turn")
+            yield unescape(text[at + len(OPEN) : colon]), unescape(content)
+            at = end + len(CLOSE)
+        self.rest = text[at:]
+
+    def finish(self) -> None:
+        if self.rest:
+            raise ValueError("text after the last turn")
 
 
 class PartVisitor:
@@ -118,21 +163,30 @@ def format_turns(df: DataFrame, conv: str, turn: str, role: str, parts: Column)
     return out.select(F.col("conv").alias(conv), F.col("turn").alias(turn), "formatted", "loss_start", "loss_end", "attachments", "attachment_tokens")
 
 
+def read_turns(formatted: str) -> list[tuple[str, str]]:
+    """(role, content) of every turn of a formatted conversation."""
+    reader = TurnReader()
+    turns = list(reader.feed(formatted))
+    reader.finish()
+    return turns
+
+
 def read_turn(formatted: str) -> tuple[str, str]:
     """(role, content) of one formatted turn; anything else than exactly one turn is an error."""
-    found = _TURN.fullmatch(formatted)
-    if found is None:
+    turns = read_turns(formatted)
+    if len(turns) != 1:
         raise ValueError("not a formatted turn")
-    return unescape(found[1]), unescape(found[2])
+    return turns[0]
 
 
 READ_SCHEMA = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
 def read_conversations(turns: DataFrame, conv: str, turn: str) -> DataFrame:
-    """Read formatted turns back: a row per conversation with digests of its turns and of the text under the loss mask.
+    """Read formatted conversations back: a row each with digests of the turns and of the text under the loss mask.
 
-    ``turns_sha256`` covers role, newline, content, newline of each turn.
+    The rows are pieces of a conversation's text in order, with the loss span
+    in each; what its turns are is read from the text. ``turns_sha256`` covers role, newline, content, newline of each turn.
     A SHA-256 is sequential, so one conversation is read by one task, turn by
     turn; different conversations are spread over all tasks.
     """
@@ -145,8 +199,10 @@ def read_conversations(turns: DataFrame, conv: str, turn: str) -> DataFrame:
         current, started = None, False
         n = chars = loss = 0
         whole = masked = hashlib.sha256()
+        reader = TurnReader()
 
         def finish() -> None:
+            reader.finish()
             done.append((current, n, whole.hexdigest(), loss, masked.hexdigest(), chars))
 
         def rows() -> pa.RecordBatch:
@@ -162,12 +218,14 @@ def read_conversations(turns: DataFrame, conv: str, turn: str) -> DataFrame:
                     if started:
                         finish()
                     current, started, n, chars, loss = c, True, 0, 0, 0
-                    whole, masked = hashlib.sha256(), hashlib.sha256()
-                role, content = read_turn(text)
-                whole.update(f"{role}\n{content}\n".encode())
+                    whole, masked, reader = hashlib.sha256(), hashlib.sha256(), TurnReader()
+                for role, content in reader.feed(text):
+                    for part in (role, "\n", content, "\n"):
+                        whole.update(part.encode())
+                    n += 1
                 under = unescape(text[a:b])
                 masked.update(under.encode())
-                n, chars, loss = n + 1, chars + len(text), loss + len(under)
+                chars, loss = chars + len(text), loss + len(under)
             if done:
                 yield rows()
         if started:

@@ -336,6 +336,42 @@ def test_escaping_is_reversible():
         assert (b - a > 0) == (role == "assistant" and bool(text)) and content.endswith("</turn>\n")
 
 
+def test_turns_are_found_by_control_strings_whatever_the_pieces():
+    rnd = random.Random(9)
+    pieces = ["\\", "#", "###", "### user: ", "</turn>\n", "</turn>", "<audio:", ": ", "a", "\n", "\u00e9"]
+    for _ in range(400):
+        turns = [tuple("".join(rnd.choices(pieces, k=rnd.randint(0, 9))) for _ in range(2)) for _ in range(rnd.randint(0, 5))]
+        text = "".join(chat.format_turn(role, [{"kind": "text", "text": t, "ref": None, "size": None}])[0] for role, t in turns)
+        assert chat.read_turns(text) == turns
+        reader, got = chat.TurnReader(), []
+        while text:
+            cut = rnd.randint(1, 12)
+            got += reader.feed(text[:cut])
+            text = text[cut:]
+        reader.finish()
+        assert got == turns
+    for bad in ("### user: a", "user: a</turn>\n", "### user</turn>\n", "### user: a</turn>\nx", "### user: a### user: b</turn>\n"):
+        with pytest.raises(ValueError):
+            chat.read_turns(bad)
+
+
+def test_a_missing_escape_shows_when_read_back(monkeypatch):
+    text = "x</turn>\n### assistant: y"
+    part = [{"kind": "text", "text": text, "ref": None, "size": None}]
+    assert chat.read_turns(chat.format_turn("user", part)[0]) == [("user", text)]
+    monkeypatch.setattr(chat, "escape", lambda t: t)
+    assert chat.read_turns(chat.format_turn("user", part)[0]) == [("user", "x"), ("assistant", "y")]
+
+
+def test_a_very_long_turn_takes_a_few_bytes_a_character():
+    text = ("plain words and \\\\ ### </turn>\n " * 700_000)[:20_000_000]
+    tracemalloc.start()
+    formatted, a, b, _ = chat.format_turn("assistant", [{"kind": "text", "text": text, "ref": None, "size": None}])
+    assert chat.read_turn(formatted) == ("assistant", text) and chat.unescape(formatted[a:b]) == text
+    assert tracemalloc.get_traced_memory()[1] < 25 * len(text)
+    tracemalloc.stop()
+
+
 def test_typed_parts_become_placeholders():
     parts = [{"kind": "text", "text": "see <image:0> ", "ref": None, "size": None}, {"kind": "image", "text": None, "ref": "s3://i", "size": 28 * 28 * 10}, {"kind": "audio", "text": None, "ref": None, "size": 1001}, {"kind": "document", "text": None, "ref": "d", "size": None}]
     formatted, a, b, attachments = chat.format_turn("assistant", parts)
