@@ -152,17 +152,23 @@ def pr_block(t: Tables, as_of: str, sourced: bool) -> DataFrame:
     constant. One row per requisition distribution; a line without
     distributions stays with a NULL id.
     """
-    hdr = pfx(t["req_headers"], "porha")
-    hdr = attach(hdr, _first_approval(t, "REQUISITION", "pr_first_appr"), "porha_requisition_header_id", "pr_first_appr_key")
+    # a header without an id has no lines; the others are put in order of id once, for the approval and for the lines
+    hdr = pfx(t["req_headers"].where(F.col("requisition_header_id").isNotNull()), "porha")
     hdr = scalar_lookup(hdr, pr_pending_with(t, as_of), "porha_segment1", "k3_pr_number",
                         {"pr_pending_with": "k3_name"}, name="PR approval pending with")
-    porla = pfx(_live_req_lines(t, sourced), "porla")
-    pr = hdr.join(porla, F.col("porha_requisition_header_id") == F.col("porla_requisition_header_id"), "inner")
-    pr = keyed_join(pr, pfx(t["req_distributions"], "pord"), "porla_requisition_line_id", "pord_requisition_line_id", "left")
+    hdr = keyed_join(hdr, _first_approval(t, "REQUISITION", "pr_first_appr"), "porha_requisition_header_id", "pr_first_appr_key",
+                     "left", spread_nulls=False).drop("pr_first_appr_key")
+    # item and requestor meet the line before its distributions fan out, and the
+    # header comes last: its columns never move with the rows of another join
+    pr = pfx(_live_req_lines(t, sourced), "porla")
+    own = ["porla_requisition_line_id", "porla_requisition_header_id"]
     pr = keyed_join(pr, pfx(t["items"], "msib"), ["porla_item_id", "porla_destination_organization_id"],
-                    ["msib_inventory_item_id", "msib_organization_id"], "left")
+                    ["msib_inventory_item_id", "msib_organization_id"], "left", spread_by=own)
     req = pfx(people_active(t, as_of_lit(as_of)).select("person_id", "full_name"), "papf")
-    pr = keyed_join(pr, req, "porla_to_person_id", "papf_person_id", "left")
+    pr = keyed_join(pr, req, "porla_to_person_id", "papf_person_id", "left", spread_by=own)
+    pr = keyed_join(pr, pfx(t["req_distributions"], "pord"), "porla_requisition_line_id", "pord_requisition_line_id", "left",
+                    spread_by=[*own, "porla_line_num"])
+    pr = pr.join(hdr, F.col("porla_requisition_header_id") == F.col("porha_requisition_header_id"), "inner")
     qty, price = F.coalesce(F.col("porla_quantity"), F.lit(0)), F.coalesce(F.col("porla_unit_price"), F.lit(0))
     return pr.select(
         F.col("pord_distribution_id").alias("DISTRIBUTION_ID"),
