@@ -76,7 +76,7 @@ def test_inner_steps_are_dropped_and_outer_ones_stay(spark):
     assert [n.partition("-")[0] for n in _stored(spark) - before] == ["outside"] and kept.count() == 3
 
 
-@pytest.mark.parametrize("name", ["report_standard"])
+@pytest.mark.parametrize("name", ["preview_top"])
 def test_registered_reports_keep_only_what_their_result_reads(spark, sf_small, name):
     before = _stored(spark)
     df = {**OPERATOR_QUERIES, **REPORT_QUERIES}[name](spark, sf_small)
