@@ -42,7 +42,7 @@ def odd_tables(spark):
     })
 
 
-@pytest.mark.parametrize("build,how", [(report_standard, {})])
+@pytest.mark.parametrize("build,how", [(report_blanket, {}), (report_standard, {})])
 def test_steps_give_the_same_rows(spark, odd_tables, build, how):
     _same(build(odd_tables, AS_OF, **how), build(odd_tables, AS_OF, keep=Steps(spark), **how))
 
@@ -76,7 +76,7 @@ def test_inner_steps_are_dropped_and_outer_ones_stay(spark):
     assert [n.partition("-")[0] for n in _stored(spark) - before] == ["outside"] and kept.count() == 3
 
 
-@pytest.mark.parametrize("name", ["preview_top"])
+@pytest.mark.parametrize("name", ["preview_top", "report_blanket"])
 def test_registered_reports_keep_only_what_their_result_reads(spark, sf_small, name):
     before = _stored(spark)
     df = {**OPERATOR_QUERIES, **REPORT_QUERIES}[name](spark, sf_small)
