@@ -14,7 +14,7 @@ from procura.operators.joins import (
     scalar_lookup,
     semi_in,
 )
-from procura.operators.sets import conform, union_distinct
+from procura.operators.sets import conform, union_distinct, union_distinct_stored
 from procura.operators.strings import ordered_listagg, ordered_listagg_expr
 from procura.operators.windows import latest_per_key
 
@@ -22,5 +22,5 @@ __all__ = [
     "anti_exists", "child_sum", "conform", "dated_join", "dated_lookup", "drill", "first_event",
     "full_outer", "keyed_join", "keyed_join_named", "left_join_splittable", "last_action_rows", "last_event", "latest_per_key", "lineage_chain",
     "max_by_key", "ordered_listagg", "ordered_listagg_expr", "preview", "scalar_lookup", "semi_in",
-    "union_distinct",
+    "union_distinct", "union_distinct_stored",
 ]

@@ -9,8 +9,8 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from procura.operators import full_outer
-from procura.plans.reports import report_blanket, report_standard
+from procura.operators import full_outer, sets, union_distinct, union_distinct_stored
+from procura.plans.reports import report_blanket, report_standard, report_union
 from procura.queries import OPERATOR_QUERIES, REPORT_QUERIES
 from procura.session import Steps, checkpoint_dir
 from procura.sources.derived import derived_tables
@@ -42,7 +42,7 @@ def odd_tables(spark):
     })
 
 
-@pytest.mark.parametrize("build,how", [(report_blanket, {}), (report_standard, {})])
+@pytest.mark.parametrize("build,how", [(report_blanket, {}), (report_standard, {}), (report_union, {"variant": "legacy"})])
 def test_steps_give_the_same_rows(spark, odd_tables, build, how):
     _same(build(odd_tables, AS_OF, **how), build(odd_tables, AS_OF, keep=Steps(spark), **how))
 
@@ -76,12 +76,12 @@ def test_inner_steps_are_dropped_and_outer_ones_stay(spark):
     assert [n.partition("-")[0] for n in _stored(spark) - before] == ["outside"] and kept.count() == 3
 
 
-@pytest.mark.parametrize("name", ["preview_top", "report_blanket"])
+@pytest.mark.parametrize("name", ["preview_top", "report_union"])
 def test_registered_reports_keep_only_what_their_result_reads(spark, sf_small, name):
     before = _stored(spark)
     df = {**OPERATOR_QUERIES, **REPORT_QUERIES}[name](spark, sf_small)
     left = {n.partition("-")[0] for n in _stored(spark) - before}
-    assert left == {"lines", "orders", "requisitions"}
+    assert left == ({"lines", "blanket", "standard", "repeated"} if "union" in name else {"lines", "orders", "requisitions"})
     read = df.inputFiles()
     assert read and all("/procura/" in f for f in read)
 
@@ -94,3 +94,15 @@ def test_rows_without_a_key_are_not_moved(spark):
     _same(a.join(b, F.col("ka") == F.col("kb"), "full"), again)
     plan = again._jdf.queryExecution().optimizedPlan().toString()
     assert "isnull(ka" in plan and "isnull(kb" in plan  # a branch of their own, beside the join
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_union_by_digest_is_the_distinct_union(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(sets, "BROADCAST_DIGESTS", 0)
+    # the digest passes over nulls, so (1, null) and (null, 1) share one and must both stay
+    a = spark.sql("select * from values (1, null, 'p'), (null, 1, 'p'), (2, 2, null), (2, 2, null) as t(x, y, z)")
+    b = spark.sql("select * from values (1, null, 'p'), (3, 3, 'q'), (null, null, null), (null, null, null) as t(x, y, z)")
+    out = union_distinct_stored(a, b, Steps(spark))
+    _same(union_distinct(a, b), out)
+    assert out.count() == 5
